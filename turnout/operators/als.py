@@ -12,7 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from turnout import fixed_values as fv
 from turnout.functions.scores import dot
@@ -43,16 +43,24 @@ class Recommender:
 def als_fit(rows: DataFrame, item: str, rank: int = 100, max_iter: int = 10, reg: float = 0.1,
             alpha: float = 1.0, implicit: bool = True, nonnegative: bool = True,
             seed: int = SEED, person: str = "person_id", rating: str = "participated",
-            dedupe: str | None = None) -> ALSModel:
+            dedupe: str | None = None, person_blocks: int | None = None,
+            item_blocks: int | None = None) -> ALSModel:
     """Fit one model. Several events with the same item value are separate observations;
-    ``dedupe='sum'`` adds them up instead."""
+    ``dedupe='sum'`` adds them up instead.
+
+    People are laid out in as many blocks as the session has shuffle partitions, since
+    a block has to fit a task's memory. Items are few; they get at most ten blocks.
+    """
+    person_blocks = person_blocks or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    item_blocks = item_blocks or min(person_blocks, 10)
     ready = rows.select(F.col(person).cast("int").alias(person), F.col(item).cast("int").alias(item),
                         F.col(rating).cast("float").alias(rating))
     if dedupe == "sum":
         ready = ready.groupBy(person, item).agg(F.sum(rating).cast("float").alias(rating))
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, userCol=person, itemCol=item,
               ratingCol=rating, nonnegative=nonnegative, implicitPrefs=implicit, alpha=alpha,
-              coldStartStrategy="drop", seed=seed)
+              coldStartStrategy="drop", seed=seed, numUserBlocks=person_blocks,
+              numItemBlocks=item_blocks)
     return als.fit(ready)
 
 
@@ -195,8 +203,6 @@ def fit_five(grid: Grid, cuts: Cuts, first: str = "train", train_on: str = "trai
 
 def factor_exploration(model: ALSModel, side: str = "item", top: int = 3) -> DataFrame:
     """Per latent factor the ids that load on it most."""
-    from pyspark.sql import Window as W
-
     factors = model.itemFactors if side == "item" else model.userFactors
     loads = factors.select("id", F.posexplode("features").alias("factor", "loading"))
     order = W.partitionBy("factor").orderBy(F.desc("loading"), "id")

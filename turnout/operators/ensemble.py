@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from turnout import fixed_values as fv
 from turnout.functions.scores import hybrid_label, k_extreme_mean, mean_of
@@ -124,8 +124,6 @@ def gbt_predict_rank(model: PipelineModel, rows: DataFrame, item: str = "event_i
 
 def feature_importance(model: PipelineModel, columns: list[str] = PREDICTIONS) -> DataFrame:
     """Importance per input column."""
-    from pyspark.sql import SparkSession
-
     values = model.stages[-1].featureImportances.toArray()
     return SparkSession.active().createDataFrame(
         [(c, float(v)) for c, v in zip(columns, values)], "feature string, importance double")
@@ -165,7 +163,7 @@ def content_rows(cells: DataFrame, users: DataFrame, predictions: DataFrame | No
         "event_day", F.datediff("event_date", F.lit("1970-01-01").cast("date")))
     if predictions is None:
         return rows.withColumn("y_label", F.col("participated").cast("double"))
-    return hybrid_labels(merge_labels_predictions(rows, predictions))
+    return hybrid_labels(merge_labels_predictions(rows, predictions)).drop("prediction")
 
 
 def content_gbt(rows: DataFrame, variant: tuple = (0.1, 3, 100, 1.0), seed: int = SEED) -> PipelineModel:

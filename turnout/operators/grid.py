@@ -24,29 +24,36 @@ GRID_COLUMNS = ["person_id", "event_id", "participated", "event_date", "series_i
 
 
 def person_baskets(parts: DataFrame) -> DataFrame:
-    """Per person the distinct events attended (at most as many as there are events)."""
+    """Per person the distinct events attended (at most as many as there are events).
+
+    The number of partitions is set: left to itself, adaptive execution would merge
+    partitions that are small now, but each row is about to become one per event.
+    """
     return (
         parts.select("person_id", "event_id").distinct()
+        .repartition(grid_partitions(parts), "person_id")
         .groupBy("person_id").agg(F.collect_list("event_id").alias("attended"))
     )
 
 
+def grid_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def pair_up(people: DataFrame, items: DataFrame, n_items: int,
             broadcast_limit: int = BROADCAST_EVENTS, slots: int | None = None) -> DataFrame:
-    """Every person with every item, as an equi-join.
+    """Every person with every item, as an equi-join on a slot.
 
-    Up to ``broadcast_limit`` items (counted, not estimated) go to every task and
-    the people rows do not move. Beyond that people are spread over ``slots`` and
-    the items are repeated once per slot, so that each task pairs one slot of
-    people with the items and Spark may sort-merge and spill.
+    Up to ``broadcast_limit`` items (counted, not estimated) there is one slot: the
+    items go to every task and the people rows do not move. Beyond that people are
+    spread over ``slots`` and the items are repeated once per slot, so that each
+    task pairs one slot of people with the items and Spark may sort-merge and spill.
     """
-    if n_items <= broadcast_limit:
-        slots, right = 1, F.broadcast(items.withColumn("_slot", F.lit(0)))
-    else:
-        slots = slots or int(people.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        right = items.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+    small = n_items <= broadcast_limit
+    slots = 1 if small else slots or grid_partitions(people)
     left = people.withColumn("_slot", F.pmod(F.hash("person_id"), F.lit(slots)))
-    return left.join(right, "_slot").drop("_slot")
+    right = items.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+    return left.join(F.broadcast(right) if small else right, "_slot").drop("_slot")
 
 
 @dataclass(frozen=True)
@@ -77,19 +84,26 @@ class Grid:
         return replace(self, events=cut_lineage(events))
 
 
-def make_grid(parts: DataFrame, events: DataFrame | None = None) -> Grid:
+def make_grid(parts: DataFrame, events: DataFrame | None = None, store: bool = True) -> Grid:
     """Grid of all people and events in ``parts``.
 
     ``events`` may bring an event table of its own; the default takes attributes
-    and means from the participations.
+    and means from the participations. ``store`` writes the baskets once, for
+    callers that use people several times (splits, fits, scores); they are a small
+    fraction of the grid.
     """
     stored = cut_lineage(events if events is not None else event_attributes(parts))
+    people = person_baskets(parts)
     ids = parts.select("person_id").distinct()
-    return Grid(ids, person_baskets(parts), stored, stored.count())
+    if store:
+        people = cut_lineage(people)
+        ids = people.select("person_id")
+        people = people.repartition(grid_partitions(parts), "person_id")
+    return Grid(ids, people, stored, stored.count())
 
 
 def participation_grid(parts: DataFrame, events: DataFrame | None = None) -> DataFrame:
-    return make_grid(parts, events).cells()
+    return make_grid(parts, events, store=False).cells()
 
 
 def implicit_zeros(parts: DataFrame) -> DataFrame:

@@ -55,6 +55,13 @@ def _on_boundary(label: str) -> Column:
     return (quota > 0) & (quota < F.col("n_rows"))
 
 
+def _wanted(quotas: DataFrame, cuts: Cuts) -> DataFrame:
+    """event_id and quota for every cut that runs through an event."""
+    through = F.array_compact(F.array(*[
+        F.when(_on_boundary(label), F.col(f"{label}_quota")) for label in cuts]))
+    return quotas.select("event_id", F.explode(through).alias("quota")).distinct()
+
+
 def _bounds(quotas: DataFrame, cuts: Cuts) -> DataFrame:
     """Quotas and boundary ids to ``<label>_upto``: the last person before the cut."""
     for label in cuts:
@@ -98,10 +105,7 @@ def split_grid(grid: Grid, cuts: Cuts | None = None, by: str | None = None) -> G
     cuts = cuts or standard_cuts()
     n_people = grid.ids.agg(F.count(F.lit(1))).scalar()
     quotas = cut_events(grid.events.withColumn("n_rows", n_people), cuts, by)
-    on_boundary = F.array_compact(F.array(*[
-        F.when(_on_boundary(label), F.col(f"{label}_quota")) for label in cuts]))
-    wanted = quotas.select(F.explode(on_boundary).alias("quota")).distinct().withColumn(
-        "_all", F.lit(0))
+    wanted = _wanted(quotas, cuts).select(F.lit(0).alias("_all"), "quota").distinct()
     members = grid.ids.select(F.lit(0).alias("_all"), "person_id", F.lit(1).alias("n"))
     last = nth_ids(members, wanted, "_all", "person_id")
     for label in cuts:
@@ -133,14 +137,15 @@ def split_rows(rows: DataFrame, cuts: Cuts | None = None, by: str | None = None,
     sizes = rows.groupBy("event_id", "event_date", *within).agg(
         F.count(F.lit(1)).alias("n_rows"))
     quotas = cut_lineage(cut_events(sizes, cuts, by))
+    wanted = _wanted(quotas, cuts)
+    members = rows.join(wanted.select("event_id").distinct(), "event_id", "left_semi").groupBy(
+        "event_id", "person_id").agg(F.count(F.lit(1)).alias("n"))
+    last = cut_lineage(nth_ids(members, wanted, "event_id", "person_id"))
     for label in cuts:
-        wanted = quotas.filter(_on_boundary(label)).select(
-            "event_id", F.col(f"{label}_quota").alias("quota"))
-        members = rows.join(wanted.select("event_id"), "event_id", "left_semi").groupBy(
-            "event_id", "person_id").agg(F.count(F.lit(1)).alias("n"))
-        last = nth_ids(members, wanted, "event_id", "person_id").select(
-            "event_id", F.col("boundary_id").alias(f"{label}_last"))
-        quotas = quotas.join(last, "event_id", "left")
+        quotas = quotas.join(
+            last.select("event_id", F.col("quota").alias(f"{label}_quota"),
+                        F.col("boundary_id").alias(f"{label}_last")),
+            ["event_id", f"{label}_quota"], "left")
     extra = bound_columns(cuts)
     keys = _bounds(quotas, cuts).select("event_id", *extra)
     return rows.join(keys, "event_id").withColumn("split", split_label(cuts, first)).drop(*extra)
@@ -160,16 +165,19 @@ def append_parts(parts: list[DataFrame]) -> DataFrame:
 
 def split_overlap_report(rows: DataFrame, keys: list[str], base: str = "train",
                          others: tuple[str, ...] = ("validate", "test")) -> DataFrame:
-    """Distinct key values per split and shared with the base split, one row per key."""
-    report = []
-    for key in keys:
-        present = rows.groupBy(key).agg(
-            *[F.max(F.col("split") == s).alias(s) for s in (base, *others)])
-        report.append(present.agg(
-            *[F.count_if(F.col(s)).alias(f"in_{s}") for s in (base, *others)],
-            *[F.count_if(F.col(base) & F.col(s)).alias(f"in_{base}_and_{s}") for s in others],
-        ).withColumn("key", F.lit(key)))
-    return append_parts(report)
+    """Distinct key values per split and shared with the base split, one row per key.
+
+    All keys go through one pass; a row leaves the map side once per key at most,
+    as partial aggregation has folded equal values before.
+    """
+    splits = (base, *others)
+    values = F.array(*[
+        F.struct(F.lit(k).alias("key"), F.col(k).cast("string").alias("value")) for k in keys])
+    present = rows.select("split", F.inline(values)).groupBy("key", "value").agg(
+        *[F.max(F.col("split") == s).alias(s) for s in splits])
+    return present.groupBy("key").agg(
+        *[F.count_if(F.col(s)).alias(f"in_{s}") for s in splits],
+        *[F.count_if(F.col(base) & F.col(s)).alias(f"in_{base}_and_{s}") for s in others])
 
 
 def cold_start_report(rows: DataFrame, key: str, base: str = "train",

@@ -157,7 +157,7 @@ pp AS (SELECT *, row_number() OVER (ORDER BY event_date, event_id, person_id) AS
 ps AS (SELECT *, CASE WHEN pos > round(n*0.8) THEN 'test' WHEN pos > round(round(n*0.8)*0.8) THEN 'validate' ELSE 'train' END AS split FROM pp)"""
 
 TOP5 = K + """,
-top AS (SELECT person_id, event_id, participated, prediction, place FROM (
+top AS (SELECT person_id, event_id, participated, prediction, CAST(place AS INT) AS place FROM (
   SELECT *, row_number() OVER (PARTITION BY person_id ORDER BY prediction DESC, event_id) AS place FROM k) WHERE place <= 5)"""
 
 # person and event summaries of the sparse view

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from turnout import fixed_values as fv
 from turnout.functions.scores import dot
 from turnout.operators.evaluate import popularity_rank_bar, rank_bar
-from turnout.operators.grid import GRID_COLUMNS, Grid, pair_up
+from turnout.operators.grid import GRID_COLUMNS, Grid, join_events, pair_up
 from turnout.operators.split import (
     Cuts, bound_columns, split_label, split_range)
 from turnout.session import cut_lineage
@@ -76,7 +76,7 @@ def als_fit_explicit(rows: DataFrame, item: str, **params) -> ALSModel:
 def attended_cells(grid: Grid, cuts: Cuts, first: str = "train") -> DataFrame:
     """Attended cells of a split grid with their ``split``, without spelling out the grid."""
     pairs = grid.people.select("person_id", F.explode("attended").alias("event_id"))
-    joined = pairs.join(grid.events, "event_id").withColumn("participated", F.lit(1))
+    joined = join_events(pairs, grid.events, grid.n_events).withColumn("participated", F.lit(1))
     return joined.withColumn("split", split_label(cuts, first)).select(*GRID_COLUMNS, "split")
 
 

@@ -94,10 +94,13 @@ def popularity_rank_bar(scored: DataFrame, item: str, actual: str = "participate
 
 
 def fill_with_mean(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Missing values of each column become the column's mean, from one pass over the frame."""
+    """Missing values of each column become the column's mean, from one pass over the frame.
+
+    A column without any value becomes 0, the score of a pair nothing is known about.
+    """
     means = df.agg(*[F.avg(_present(c)).alias(c) for c in columns])
     return df.withColumns(
-        {c: F.coalesce(_present(c), means.select(c).scalar()) for c in columns})
+        {c: F.coalesce(_present(c), means.select(c).scalar(), F.lit(0.0)) for c in columns})
 
 
 def regression_metrics(scored: DataFrame, label: str = "participated",

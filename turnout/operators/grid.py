@@ -56,6 +56,16 @@ def pair_up(people: DataFrame, items: DataFrame, n_items: int,
     return left.join(F.broadcast(right) if small else right, "_slot").drop("_slot")
 
 
+def join_events(rows: DataFrame, events: DataFrame, n_events: int) -> DataFrame:
+    """Rows with their event's columns; ``events`` is stored and was counted.
+
+    Small event tables go to the rows. Larger ones are sort-merged, where an event
+    with very many rows is split, as both sides come straight out of a shuffle.
+    """
+    small = n_events <= BROADCAST_EVENTS
+    return rows.join(F.broadcast(events) if small else events, "event_id")
+
+
 @dataclass(frozen=True)
 class Grid:
     """People and events whose pairs are the grid; ``cells`` spells it out lazily.
@@ -113,9 +123,10 @@ def implicit_zeros(parts: DataFrame) -> DataFrame:
 
 def positives_only(parts: DataFrame, events: DataFrame | None = None) -> DataFrame:
     """Pairs that did happen, straight from the participations: no grid involved."""
-    events = events if events is not None else event_attributes(parts)
+    stored = cut_lineage(events if events is not None else event_attributes(parts))
     pairs = parts.select("person_id", "event_id").distinct()
-    return pairs.join(events, "event_id").withColumn("participated", F.lit(1)).select(*GRID_COLUMNS)
+    joined = join_events(pairs, stored, stored.count())
+    return joined.withColumn("participated", F.lit(1)).select(*GRID_COLUMNS)
 
 
 def als_matrix(cells: DataFrame, item: str) -> DataFrame:

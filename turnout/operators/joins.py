@@ -2,7 +2,9 @@
 
 No side is broadcast by hint: lookups are small today, but their size is not
 known here. Spark measures them (static sizes, then adaptive ones), broadcasts
-those below its threshold and sort-merges the rest with skew splitting.
+those below its threshold and sort-merges the rest with skew splitting. For the
+latter a lookup has to be a stored table: adaptive execution splits a hot key only
+if both sides of the join come straight out of a shuffle.
 """
 
 from __future__ import annotations
@@ -27,20 +29,18 @@ def composite_key_join(left: DataFrame, right: DataFrame, keys: list[str]) -> Da
 def master_join(tables: Mapping[str, DataFrame]) -> DataFrame:
     """All lookups on the registrations: one wide participation row each.
 
-    A lookup key that repeats multiplies rows, as in SQL; check a table with
-    ``assert_unique_keys`` where that must not happen.
+    What hangs on the event is joined to the event first, so that registrations are
+    moved once for it and not four times; the full join keeps series of events that
+    the event table lacks. A lookup key that repeats multiplies rows, as in SQL;
+    check a table with ``assert_unique_keys`` where that must not happen.
     """
-    wide = (
-        tables["person_events"]
-        .join(tables["events"], "event_id", "left")
-        .join(tables["series_events"], "event_id", "left")
-    )
-    wide = (
-        ci_key_join(wide, tables["distances"], "distance")
+    events = (
+        tables["events"].join(tables["series_events"], "event_id", "full")
         .join(tables["event_types"], "event_type_id", "left")
-        .join(tables["persons"], "person_id", "left")
         .join(tables["series"], "series_id", "left")
     )
+    wide = ci_key_join(tables["person_events"], tables["distances"], "distance")
+    wide = wide.join(events, "event_id", "left").join(tables["persons"], "person_id", "left")
     wide = composite_key_join(wide, tables["ss_team_people"], ["person_id", "event_id"])
     return wide.withColumnRenamed("prereg", "ss_prereg").select(*PARTICIPATION.names)
 

@@ -2,7 +2,8 @@
 
 Each step adds or replaces columns; ``turnout.plans.preparation`` puts them in
 the order the results depend on. Means used for filling are scalar subqueries,
-so nothing passes through the driver.
+so nothing passes through the driver; per-person values are stored before they are
+joined back.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from turnout import fixed_values as fv
 from turnout.functions import cleaning as fn
+from turnout.session import cut_lineage
 
 
 def cast_ids(df: DataFrame, *columns: str) -> DataFrame:
@@ -29,9 +31,10 @@ def impute_age(df: DataFrame) -> DataFrame:
     """Adds ``age2``: own age, else the person's mean, else the overall mean cut to a whole.
 
     The overall mean counts ages filled from the person's mean. It comes from the
-    per-person totals, not from a second pass over the filled rows.
+    per-person totals, not from a second pass over the filled rows. These totals are
+    stored, as both need them and the join can then split a person with very many rows.
     """
-    ages = known_ages(df)
+    ages = cut_lineage(known_ages(df))
     total = F.sum(F.col("_ages") + (F.col("_rows") - F.col("_known")) * F.col("_person_age"))
     overall = ages.filter("_known > 0").agg(
         F.try_divide(total, F.sum("_rows")).cast("int").alias("mean_age")).scalar()
@@ -44,8 +47,8 @@ def impute_age(df: DataFrame) -> DataFrame:
 
 def backfill_gender(df: DataFrame, order: list[str]) -> DataFrame:
     """A missing gender is taken from the person's first row that has one, else 'Other'."""
-    first = df.filter(F.col("gender").isNotNull()).groupBy("person_id").agg(
-        F.min_by("gender", F.struct(*order)).alias("_gender"))
+    first = cut_lineage(df.filter(F.col("gender").isNotNull()).groupBy("person_id").agg(
+        F.min_by("gender", F.struct(*order)).alias("_gender")))
     return (
         df.join(first, "person_id", "left")
         .withColumn("gender", F.coalesce("gender", "_gender", F.lit(fv.DEFAULT_GENDER)))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from turnout import fixed_values as fv
-from turnout.operators.grid import Grid
+from turnout.operators.grid import Grid, join_events
 from turnout.operators.position import nth_ids, running_total
 from turnout.session import cut_lineage
 
@@ -140,15 +140,16 @@ def split_rows(rows: DataFrame, cuts: Cuts | None = None, by: str | None = None,
     wanted = _wanted(quotas, cuts)
     members = rows.join(wanted.select("event_id").distinct(), "event_id", "left_semi").groupBy(
         "event_id", "person_id").agg(F.count(F.lit(1)).alias("n"))
-    last = cut_lineage(nth_ids(members, wanted, "event_id", "person_id"))
+    last = nth_ids(members, wanted, "event_id", "person_id")
     for label in cuts:
         quotas = quotas.join(
             last.select("event_id", F.col("quota").alias(f"{label}_quota"),
                         F.col("boundary_id").alias(f"{label}_last")),
             ["event_id", f"{label}_quota"], "left")
     extra = bound_columns(cuts)
-    keys = _bounds(quotas, cuts).select("event_id", *extra)
-    return rows.join(keys, "event_id").withColumn("split", split_label(cuts, first)).drop(*extra)
+    keys = cut_lineage(_bounds(quotas, cuts).select("event_id", *extra))
+    labelled = join_events(rows, keys, keys.count())
+    return labelled.withColumn("split", split_label(cuts, first)).drop(*extra)
 
 
 def ordered_cut(rows: DataFrame, share: float = 0.8) -> DataFrame:

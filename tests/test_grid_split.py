@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from turnout.operators import split
 from turnout.operators.attendance import event_roster
 from turnout.operators.grid import make_grid, pair_up, participation_grid
-from turnout.operators.position import exact_quantiles, running_position
+from turnout.operators.position import exact_quantiles, nth_ids, running_position
+from turnout.operators.retention import person_summary
 
 DAY = dt.date(2017, 1, 1)
 
@@ -111,3 +112,22 @@ def test_roster_pages_hold_everybody(spark, monkeypatch):
     assert {(p.event_id, x) for p in pages for x in p.person_ids} == {
         (r.event_id, r.person_id) for r in parts.collect()}
     assert max(len(p.person_ids) for p in pages) <= 20 and all(p.n_people == len(p.person_ids) for p in pages)
+
+
+def test_boundaries_with_sparse_ids(spark):
+    ids = [-(2**62), -5, 0, 3, 3, 2**40, 2**40 + 1, 2**62]
+    members = spark.createDataFrame([(0, i, 1) for i in ids], "g int, person_id long, n int")
+    wanted = spark.createDataFrame([(0, q) for q in range(1, 9)], "g int, quota long")
+    found = {r.quota: r.boundary_id for r in nth_ids(members, wanted, "g", "person_id").collect()}
+    assert found == {i + 1: x for i, x in enumerate(ids)}
+
+
+def test_one_person_and_one_event_with_a_third_of_all_rows(spark):
+    hot = [(1, e, DAY, 0, 0, 98000, 1.0, 1) for e in range(5)] * 40 + [
+        (p, 2, DAY, 0, 0, 98000, 1.0, 1) for p in range(200)]
+    parts = spark.createDataFrame(hot, participations(spark).schema)
+    people = {r.person_id: r for r in person_summary(parts).collect()}
+    assert people[1].event_count == 201 and len(people[1].history) == 5
+    assert people[1].repeat_lag == "Under 183 days" and people[7].repeat_lag == "One Off"
+    cells = participation_grid(parts)
+    assert cells.count() == 1000 and cells.agg(F.sum("participated")).first()[0] == 204

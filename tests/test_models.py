@@ -45,7 +45,7 @@ def test_dense_training_gives_the_same_scores(spark, fitted):
     train = split_cells(make_grid(participations(spark, people=60, events=20)), CUTS).filter("split = 'train'")
     dense = ALS(rank=4, maxIter=5, regParam=0.1, alpha=40.0, userCol="person_id", itemCol="venue_zip",
                 ratingCol="participated", implicitPrefs=True, nonnegative=True, seed=als.SEED,
-                numUserBlocks=4, numItemBlocks=4, coldStartStrategy="drop")
+                numUserBlocks=8, numItemBlocks=8, coldStartStrategy="drop")
     scores = dense.fit(train.withColumn("person_id", F.col("person_id").cast("int"))).transform(
         train.withColumn("person_id", F.col("person_id").cast("int")))
     mine = {(r.person_id, r.event_id): r.prediction

@@ -48,10 +48,11 @@ def als_fit(rows: DataFrame, item: str, rank: int = 100, max_iter: int = 10, reg
     """Fit one model. Several events with the same item value are separate observations;
     ``dedupe='sum'`` adds them up instead.
 
-    People are laid out in as many blocks as the session has shuffle partitions, since
-    a block has to fit a task's memory. Items are few; they get at most ten blocks.
+    People are laid out in as many blocks as the cluster has cores, since a block has to
+    fit a task's memory. Items are few; they get at most ten blocks. Ids have to fit
+    32 bits, which Spark ML asks for; larger ones are an error, not a wrong result.
     """
-    person_blocks = person_blocks or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    person_blocks = person_blocks or rows.sparkSession.sparkContext.defaultParallelism
     item_blocks = item_blocks or min(person_blocks, 10)
     ready = rows.select(F.col(person).cast("int").alias(person), F.col(item).cast("int").alias(item),
                         F.col(rating).cast("float").alias(rating))

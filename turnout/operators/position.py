@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-# ids are grouped in ranges of this width before positions are looked up in one range
-ID_RANGE = 65_536
+# ids are grouped in this many ranges before positions are looked up in one range
+ID_RANGES = 65_536
 
 
 def running_total(df: DataFrame, coarse: str, fine: list[Column | str], amount: Column,
@@ -41,9 +41,15 @@ def nth_ids(members: DataFrame, wanted: DataFrame, group: str, id_col: str) -> D
 
     ``members``: group, id, n (rows of that id). ``wanted``: group, quota (>= 1).
     Returns group, quota, boundary_id. Ids are counted per range of ids first, so
-    that only the one range holding the boundary is ordered row by row.
+    that only the one range holding the boundary is ordered row by row. There are at
+    most ``ID_RANGES`` + 1 ranges between the smallest and the largest id, however
+    sparse the ids are.
     """
-    ranged = members.withColumn("_range", F.floor(F.col(id_col) / ID_RANGE))
+    limits = members.agg(F.min(id_col).cast("double").alias("lo"),
+                         F.max(id_col).cast("double").alias("hi"))
+    lo, hi = limits.select("lo").scalar(), limits.select("hi").scalar()
+    width = F.greatest((hi - lo) / ID_RANGES, F.lit(1.0))
+    ranged = members.withColumn("_range", F.floor((F.col(id_col).cast("double") - lo) / width))
     totals = ranged.groupBy(group, "_range").agg(F.sum("n").alias("_n"))
     upto = W.partitionBy(group).orderBy("_range")
     totals = totals.select(

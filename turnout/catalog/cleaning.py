@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from turnout import fixed_values as fv
 from turnout.catalog import views as v
 from turnout.catalog.registry import query
 from turnout.functions import cleaning as fn
 from turnout.operators import prepare as step
-from turnout.operators.grid import participation_grid
 
 KEYS = ["person_id", "order_id", "line_no"]
 KEYS_SQL = "person_id, order_id, line_no"

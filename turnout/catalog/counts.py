@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from turnout.catalog import views as v
 from turnout.catalog.registry import ids_text, query, six, six_all

@@ -128,8 +128,8 @@ def split_rows(rows: DataFrame, cuts: Cuts | None = None, by: str | None = None,
                first: str = "train") -> DataFrame:
     """Any frame of persons and events with a ``split`` column.
 
-    ``rows`` is read for the event sizes, for the events on a boundary and for the
-    labels; hand in a stored frame if it is costly. Rows of one person at one event
+    ``rows`` is read for the event sizes, for the people of events on a boundary and
+    for the labels; hand in a stored frame if it is costly. Rows of one person at one event
     stay on one side of a cut.
     """
     cuts = cuts or standard_cuts()
@@ -138,8 +138,9 @@ def split_rows(rows: DataFrame, cuts: Cuts | None = None, by: str | None = None,
         F.count(F.lit(1)).alias("n_rows"))
     quotas = cut_lineage(cut_events(sizes, cuts, by))
     wanted = _wanted(quotas, cuts)
-    members = rows.join(wanted.select("event_id").distinct(), "event_id", "left_semi").groupBy(
-        "event_id", "person_id").agg(F.count(F.lit(1)).alias("n"))
+    members = cut_lineage(
+        rows.join(wanted.select("event_id").distinct(), "event_id", "left_semi")
+        .groupBy("event_id", "person_id").agg(F.count(F.lit(1)).alias("n")))
     last = nth_ids(members, wanted, "event_id", "person_id")
     for label in cuts:
         quotas = quotas.join(

@@ -1,4 +1,4 @@
 """Imports the operators, which register their queries."""
 
-from turnout.llm import kdtree, mixing, secrets, urls, warc  # noqa: F401
+from turnout.llm import bpe, imatch, kdtree, language, mixing, neardup, quality, secrets, urls, warc  # noqa: F401
 from turnout.llm.registry import QUERIES, SQL  # noqa: F401

@@ -106,12 +106,12 @@ def source_plan(rows: DataFrame, mix: Mix) -> DataFrame:
         F.greatest(F.ceil(F.col("tokens") / mix.block_tokens), F.lit(1)).cast("long").alias("blocks"))
 
 
-def mix_sources(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
+def mix_sources(docs: DataFrame, mix: Mix = Mix(), keep: list[str] | None = None) -> DataFrame:
     """One row per realised copy: ``row`` (the document's columns), source, tokens, weight, epoch,
     block and start (tokens of the source that come before the copy).
 
-    Needs doc_id, text and source; other columns travel inside ``row`` and may
-    have any name. A null source counts as the source named ''. A null text is
+    Needs doc_id, text and source; the columns ``keep`` (None: all) travel inside
+    ``row`` and may have any name. A null source counts as the source named ''. A null text is
     an empty one, and an empty text counts one token. Copies are taken in order
     of start until the target is reached, so a source goes over it by less than
     one document. Rows that repeat a document are separate rows; an order among
@@ -123,15 +123,18 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     spread over many.
     """
     rows = docs.select(
-        F.struct("*").alias("row"), F.coalesce("source", F.lit("")).alias("source"),
-        count_tokens(text_of()).alias("tokens"),
+        F.struct(*(keep or docs.columns)).alias("row"), F.coalesce("source", F.lit("")).alias("source"),
+        count_tokens(text_of()).alias("tokens"), F.hash("text").alias("tie"),
         F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key"))
-    plan = stored(source_plan(rows.select("source", "tokens"), mix), "mix-plan")
+    slim = stored(rows.select("source", "tokens", "key"), "mix-sizes")
+    plan = stored(source_plan(slim, mix), "mix-plan")
     number = F.conv(F.substring(_unit(F.lit(str(mix.seed)), "key"), 1, 12), 16, 10).cast("long")
+    number = F.pmod(number, F.col("blocks")).alias("block")
     dealt = rows.join(plan.select("source", "blocks"), "source").select(
-        "row", "source", "tokens", "key", F.pmod(number, F.col("blocks")).alias("block"))
+        "row", "source", "tokens", "key", "tie", number)
 
-    block_sums = stored(dealt.groupBy("source", "block").agg(F.sum("tokens").alias("size")), "mix-blocks")
+    block_sums = stored(slim.join(plan.select("source", "blocks"), "source").select(
+        "source", "tokens", number).groupBy("source", "block").agg(F.sum("tokens").alias("size")), "mix-blocks")
     epochs = F.ceil(F.col("target") / F.col("tokens"))
     turns = block_sums.join(plan, "source").select(
         "source", "block", "size", "target", "weight", F.col("tokens").alias("whole"),
@@ -144,7 +147,7 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         F.collect_list(F.struct("epoch", "before")).alias("visits"))
 
     inside = Window.partitionBy("source", "block").orderBy(
-        _unit(F.lit(str(mix.seed)), F.lit("row"), "key"), "key", F.hash("row.text"))
+        _unit(F.lit(str(mix.seed)), F.lit("row"), "key"), "key", "tie")
     placed = dealt.withColumn("offset", F.sum("tokens").over(
         inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("tokens"))
     joined = placed.join(visits, ["source", "block"]).select(
@@ -164,5 +167,5 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The realised mixture of all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mix_sources(docs).select(
+    return mix_sources(docs, keep=["doc_id"]).select(
         F.col("row.doc_id").alias("doc_id"), "source", "tokens", "weight", "epoch", "block", "start")

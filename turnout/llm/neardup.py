@@ -367,7 +367,8 @@ def single_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     kept = near_duplicates(docs).where("doc_id = class_id").select(F.col("doc_id").alias("kept_id")).distinct()
     columns = docs.columns
-    one = docs.join(stored(kept, "kept"), docs["doc_id"] == F.col("kept_id"), "left_semi")
+    # the ids kept grow with the documents: one plan for every size
+    one = docs.join(stored(kept, "kept").hint("merge"), docs["doc_id"] == F.col("kept_id"), "left_semi")
     repeated = docs.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").limit(1).count()
     one = one.dropDuplicates(["doc_id"]) if repeated else one
     return one.unionByName(docs.where(docs["doc_id"].isNull())).select(*columns)

@@ -120,13 +120,14 @@ def fingerprint_documents(docs: DataFrame, lexicon: Lexicon = Lexicon()) -> Data
         "doc_id", F.length("text").cast("long").alias("n"), F.md5("text").alias("mark"))), "id-order")
 
     marked = rows.select("doc_id", "text", F.md5("text").alias("mark"))
-    own = marked.join(order.withColumnRenamed("mark", "kept"), "doc_id").where("mark = kept")
+    # no equality, or it becomes a second join key and texts move once more for the next join
+    own = marked.join(order.withColumnRenamed("mark", "kept").hint("merge"), "doc_id").where("startswith(mark, kept)")
     heads = own.select(
         F.col("prev_id").alias("doc_id"),
         F.substring("text", F.lit(1), F.floor(F.col("prev_n") / 4).cast("int")).alias("head")
     ).groupBy("doc_id").agg(F.min("head").alias("head"))
     edited = F.concat(F.substring("text", F.lit(1), (F.col("n") - F.floor(F.col("n") / 4)).cast("int")), "head")
-    both = own.join(heads, "doc_id").select("doc_id", "n", "next_id", "mark", "text", edited.alias("edited"))
+    both = own.join(heads.hint("merge"), "doc_id").select("doc_id", "n", "next_id", "mark", "text", edited.alias("edited"))
 
     used = both.select("doc_id", F.explode(F.array(
         F.struct(F.lit(0).alias("side"), terms(F.col("text")).alias("terms")),

@@ -3,6 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from turnout.operators.profile import prediction_describe
 from turnout.operators import split
 from turnout.operators.attendance import event_roster
 from turnout.operators.grid import make_grid, pair_up, participation_grid
@@ -75,12 +76,33 @@ def test_split_of_rows_and_reports(spark):
         len(new), sum(r.split == "validate" and r.person_id in new for r in rows))
 
 
-def test_rows_of_one_person_and_event_stay_together(spark):
-    rows = split.ordered_cut(participations(spark, repeat=0.5), 0.5).collect()
-    sides = {}
-    for r in rows:
-        sides.setdefault((r.person_id, r.event_id), set()).add(r.split)
-    assert all(len(s) == 1 for s in sides.values()) and len({r.split for r in rows}) == 2
+def test_repeated_rows_are_cut_by_row(spark):
+    rows = spark.createDataFrame([(1, 7, "2020-01-01")] * 10, "person_id long, event_id long, d string").selectExpr(
+        "person_id", "event_id", "CAST(d AS date) AS event_date")
+    sides = [r.split for r in split.ordered_cut(rows, 0.5).collect()]
+    assert (sides.count("train"), sides.count("validate")) == (5, 5)
+
+
+def test_no_row_is_lost_or_doubled(spark):
+    rows = spark.createDataFrame(
+        [(p, e, None if e == 3 else f"2020-0{1 + ((p or 0) % 2) * (e == 2)}-01", None if e == 1 else e % 2)
+         for e in (1, 2, 3) for p in [*range(9), None]],
+        "person_id long, event_id long, d string, series_id int").selectExpr(
+        "person_id", "event_id", "CAST(d AS date) AS event_date", "series_id")
+    for by in (None, "series_id"):
+        found = split.split_rows(rows, by=by).collect()
+        key = lambda r: (str(r.person_id), r.event_id, str(r.event_date), str(r.series_id))
+        assert sorted(map(key, found)) == sorted(map(key, rows.collect()))
+    found = split.split_rows(rows).collect()
+    counts = {s: sum(r.split == s for r in found) for s in ("train", "validate", "test")}
+    assert counts == {"train": 19, "validate": 5, "test": 6}
+    assert all(r.event_date is None for r in found if r.split == "test")
+
+
+def test_quartiles_of_a_null_label(spark):
+    rows = spark.createDataFrame([(None, 1.0), (None, 3.0), (1, 2.0)], "participated int, prediction double")
+    found = {r.participated: r.q50 for r in prediction_describe(rows).collect()}
+    assert found == {None: 2.0, 1: 2.0}
 
 
 def test_split_ranges_cover_each_row_once(spark):

@@ -10,6 +10,8 @@ from turnout.catalog.joins import FIVE_SQL, ITEMS, five_predictions, top_lists
 from turnout.catalog.registry import ids_text, query, six, six_all
 from turnout.operators import ensemble, evaluate, profile, recommend, retention, split
 from turnout.operators.grid import make_grid, participation_grid
+from turnout.session import scratch_path
+from turnout.sources.tables import snapshot
 
 
 def scored(spark, sf_dir):
@@ -109,8 +111,13 @@ def ordered_cut(spark, sf_dir):
 
 @query("append_parts", f"WITH {v.P} SELECT person_id, event_id, series_id FROM p")
 def append_parts(spark, sf_dir):
-    parts = v.participations(spark, sf_dir).select("person_id", "event_id", "series_id")
-    return split.append_parts([parts.filter(F.col("series_id") == s) for s in range(5)])
+    """The splits of the participations, stored once, put together again."""
+    rows = split.split_rows(v.participations(spark, sf_dir).select(
+        "person_id", "event_id", "event_date", "series_id"))
+    parts = snapshot(rows, scratch_path(spark, "splits"))
+    wanted = ["person_id", "event_id", "series_id"]
+    return split.append_parts([
+        parts.filter(F.col("split") == s).select(*wanted) for s in ("train", "validate", "test")])
 
 
 def _overlap_sql(key):

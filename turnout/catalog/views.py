@@ -30,6 +30,8 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         kind.cast("int").alias("t"), F.year("o_orderdate").alias("y"),
         F.quarter("o_orderdate").alias("q"),
         F.date_trunc("quarter", "o_orderdate").cast("date").alias("qs"),
+        F.year("l_shipdate").alias("sy"), F.quarter("l_shipdate").alias("sq"),
+        F.date_trunc("quarter", "l_shipdate").cast("date").alias("sqs"),
         F.col("l_extendedprice").alias("price"), F.col("p_size").cast("long").alias("size"),
         F.col("l_quantity").cast("long").alias("qty"))
 
@@ -50,8 +52,10 @@ def participations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sparse_participations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = order_lines(spark, sf_dir).filter((F.col("flag") == "R") & (F.col("line_no") == 1))
-    return _participations(lines)
+    """Every order line, with few events per person: person = order, quarter = quarter of shipping."""
+    lines = order_lines(spark, sf_dir)
+    return _participations(lines.withColumns({
+        "person_id": F.col("order_id"), "y": F.col("sy"), "q": F.col("sq"), "qs": F.col("sqs")}))
 
 
 def pseudo_score(cells: DataFrame, column: str = "prediction", by: str = "event_id") -> DataFrame:
@@ -100,6 +104,8 @@ SELECT CAST(o.o_custkey AS BIGINT) AS person_id, CAST(o.o_orderkey AS BIGINT) AS
        WHEN 'PROMO' THEN 4 WHEN 'SMALL' THEN 5 ELSE 6 END AS INT) AS t,
   CAST(year(o.o_orderdate) AS INT) AS y, CAST(quarter(o.o_orderdate) AS INT) AS q,
   CAST(date_trunc('quarter', o.o_orderdate) AS DATE) AS qs,
+  CAST(year(l.l_shipdate) AS INT) AS sy, CAST(quarter(l.l_shipdate) AS INT) AS sq,
+  CAST(date_trunc('quarter', l.l_shipdate) AS DATE) AS sqs,
   l.l_extendedprice AS price, CAST(p.p_size AS BIGINT) AS size, CAST(l.l_quantity AS BIGINT) AS qty
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey)"""
 
@@ -107,10 +113,11 @@ _PARTICIPATIONS = """
 SELECT person_id, CAST(t*1000 + (y-1995)*4 + q AS BIGINT) AS event_id, CAST(qs + 14*(t-1) AS DATE) AS event_date,
   CAST(CASE WHEN t <= 4 THEN t ELSE 0 END AS INT) AS series_id, t AS event_type_id,
   CAST(98000 + (t*4+q) % 9 AS INT) AS venue_zip, min(price)/1000 AS fee, min(size) AS miles
-FROM li {where} GROUP BY person_id, t, y, q, qs"""
+FROM {lines} GROUP BY person_id, t, y, q, qs"""
 
-P = f"{LI},\np AS ({_PARTICIPATIONS.format(where='')})"
-S = f"{LI},\ns AS ({_PARTICIPATIONS.format(where=chr(10) + 'WHERE flag = ' + chr(39) + 'R' + chr(39) + ' AND line_no = 1')})"
+P = f"{LI},\np AS ({_PARTICIPATIONS.format(lines='li')})"
+_SHIPPED = "(SELECT order_id AS person_id, t, sy AS y, sq AS q, sqs AS qs, price, size FROM li) shipped"
+S = f"{LI},\ns AS ({_PARTICIPATIONS.format(lines=_SHIPPED)})"
 
 EV = P + """,
 ev AS (

@@ -40,6 +40,13 @@ class Recommender:
         return self.model.rank
 
 
+def _int32(column: str) -> Column:
+    """An id in 32 bits; an error in any mode, never another id, if it does not fit."""
+    fits = F.col(column).isNull() | F.col(column).between(-2**31, 2**31 - 1)
+    return F.when(fits, F.col(column)).otherwise(
+        F.raise_error(F.lit(f"{column} does not fit 32 bits"))).cast("int")
+
+
 def als_fit(rows: DataFrame, item: str, rank: int = 100, max_iter: int = 10, reg: float = 0.1,
             alpha: float = 1.0, implicit: bool = True, nonnegative: bool = True,
             seed: int = SEED, person: str = "person_id", rating: str = "participated",
@@ -54,7 +61,7 @@ def als_fit(rows: DataFrame, item: str, rank: int = 100, max_iter: int = 10, reg
     """
     person_blocks = person_blocks or rows.sparkSession.sparkContext.defaultParallelism
     item_blocks = item_blocks or min(person_blocks, 10)
-    ready = rows.select(F.col(person).cast("int").alias(person), F.col(item).cast("int").alias(item),
+    ready = rows.select(_int32(person).alias(person), _int32(item).alias(item),
                         F.col(rating).cast("float").alias(rating))
     if dedupe == "sum":
         ready = ready.groupBy(person, item).agg(F.sum(rating).cast("float").alias(rating))

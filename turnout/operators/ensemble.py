@@ -170,7 +170,8 @@ def content_gbt(rows: DataFrame, variant: tuple = (0.1, 3, 100, 1.0), seed: int
     """Boosted regression on one-hot categories and numbers.
 
     The fitted encoders hold the vocabulary, so later frames get the same columns;
-    values unseen in training fall into a bucket of their own.
+    values unseen in training fall into a bucket of their own. A missing number is 0 and
+    flagged in a column of its own, so every row is trained on and scored.
     """
     rate, depth, trees, subsample = variant
     texts = [f"_{c}_text" for c in CONTENT_CATEGORIES]
@@ -180,8 +181,8 @@ def content_gbt(rows: DataFrame, variant: tuple = (0.1, 3, 100, 1.0), seed: int
         StringIndexer(inputCols=texts, outputCols=indexed, handleInvalid="keep",
                       stringOrderType="alphabetAsc"),
         OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep"),
-        VectorAssembler(inputCols=encoded + CONTENT_NUMBERS, outputCol="_features",
-                        handleInvalid="skip"),
+        VectorAssembler(inputCols=encoded + [f"_{c}_{part}" for c in CONTENT_NUMBERS for part in ("value", "missing")],
+                        outputCol="_features", handleInvalid="error"),
         GBTRegressor(featuresCol="_features", labelCol="y_label", predictionCol="prediction",
                      stepSize=rate, maxDepth=depth, maxIter=trees, subsamplingRate=subsample,
                      seed=seed),
@@ -190,7 +191,11 @@ def content_gbt(rows: DataFrame, variant: tuple = (0.1, 3, 100, 1.0), seed: int
 
 
 def _as_text(rows: DataFrame) -> DataFrame:
-    return rows.withColumns({f"_{c}_text": F.col(c).cast("string") for c in CONTENT_CATEGORIES})
+    number = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None))
+    return rows.withColumns(
+        {f"_{c}_text": F.col(c).cast("string") for c in CONTENT_CATEGORIES}
+        | {f"_{c}_value": F.coalesce(number(c), F.lit(0.0)) for c in CONTENT_NUMBERS}
+        | {f"_{c}_missing": number(c).isNull().cast("double") for c in CONTENT_NUMBERS})
 
 
 def content_predict(model: PipelineModel, rows: DataFrame) -> DataFrame:

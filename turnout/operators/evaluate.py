@@ -98,9 +98,9 @@ def fill_with_mean(df: DataFrame, columns: list[str]) -> DataFrame:
 
     A column without any value becomes 0, the score of a pair nothing is known about.
     """
-    means = df.agg(*[F.avg(_present(c)).alias(c) for c in columns])
+    means = df.agg(F.struct(*[F.avg(_present(c)).alias(c) for c in columns]).alias("means")).scalar()
     return df.withColumns(
-        {c: F.coalesce(_present(c), means.select(c).scalar(), F.lit(0.0)) for c in columns})
+        {c: F.coalesce(_present(c), means.getField(c), F.lit(0.0)) for c in columns})
 
 
 def regression_metrics(scored: DataFrame, label: str = "participated",

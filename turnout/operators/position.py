@@ -8,22 +8,31 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 ID_RANGES = 65_536
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which a null key equals a null key; keeps the left side's keys."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = [left[k].eqNullSafe(renamed[f"_right_{k}"]) for k in keys]
+    return left.join(renamed, on, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def running_total(df: DataFrame, coarse: str, fine: list[Column | str], amount: Column,
                   within: list[str] | None = None) -> DataFrame:
     """Adds ``before``: the sum of ``amount`` over all earlier rows.
 
-    Rows are ordered by ``coarse`` then ``fine``, separately per ``within``. Only
+    Rows are ordered by ``coarse`` then ``fine``, separately per ``within``; nulls
+    are values like others there and come last in ``coarse``. Only
     the totals per coarse value are ordered as a whole; inside a coarse value each
     task orders its own rows.
     """
     within = within or []
     totals = df.groupBy(*within, coarse).agg(F.sum(amount).alias("_total"))
-    earlier = W.partitionBy(*within).orderBy(coarse).rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy(*within).orderBy(F.col(coarse).asc_nulls_last()).rowsBetween(
+        W.unboundedPreceding, -1)
     offsets = totals.select(
         *within, coarse, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"))
     inside = W.partitionBy(*within, coarse).orderBy(*fine).rowsBetween(W.unboundedPreceding, -1)
     return (
-        df.join(offsets, [*within, coarse])
+        null_safe_join(df, offsets, [*within, coarse])
         .withColumn("before", F.col("_offset") + F.coalesce(F.sum(amount).over(inside), F.lit(0)))
         .drop("_offset")
     )
@@ -40,7 +49,8 @@ def nth_ids(members: DataFrame, wanted: DataFrame, group: str, id_col: str) -> D
     """The id at which the running count of ``members`` reaches ``wanted.quota``.
 
     ``members``: group, id, n (rows of that id). ``wanted``: group, quota (>= 1).
-    Returns group, quota, boundary_id. Ids are counted per range of ids first, so
+    Returns group, quota, boundary_id, and ``boundary_rows``: how many rows of that id the
+    quota takes. Ids are counted per range of ids first, so
     that only the one range holding the boundary is ordered row by row. There are at
     most ``ID_RANGES`` + 1 ranges between the smallest and the largest id, however
     sparse the ids are.
@@ -62,7 +72,10 @@ def nth_ids(members: DataFrame, wanted: DataFrame, group: str, id_col: str) -> D
         ranged.join(hit, [group, "_range"])
         .withColumn("_count", F.sum("n").over(inside))
         .filter(F.col("_count") >= F.col("_left"))
-        .groupBy(group, "quota").agg(F.min(id_col).alias("boundary_id"))
+        .groupBy(group, "quota").agg(F.min(F.struct(
+            F.col(id_col).alias("id"), (F.col("_left") - F.col("_count") + F.col("n")).alias("rows"))).alias("_first"))
+        .select(group, "quota", F.col("_first.id").alias("boundary_id"),
+                F.col("_first.rows").alias("boundary_rows"))
     )
 
 
@@ -79,7 +92,7 @@ def exact_quantiles(df: DataFrame, group: str, value: str, shares: dict[str, flo
     limits = counts.groupBy(group).agg(
         F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.sum("_n").alias("_rows"))
     width = (F.col("_hi") - F.col("_lo")) / bins
-    sliced = counts.join(limits, group).withColumn(
+    sliced = null_safe_join(counts, limits, [group]).withColumn(
         "_slice", F.when(F.col("_hi") > F.col("_lo"),
                          F.floor((F.col(value) - F.col("_lo")) / width)).otherwise(F.lit(0)))
     placed = running_total(sliced, "_slice", [value], F.col("_n"), [group])

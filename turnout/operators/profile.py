@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from turnout.operators.attendance import event_counts, person_counts
-from turnout.operators.position import exact_quantiles
+from turnout.operators.position import exact_quantiles, null_safe_join
 
 
 def dataset_summary(parts: DataFrame) -> DataFrame:
@@ -105,7 +105,7 @@ def prediction_describe(scored: DataFrame, label: str = "participated",
         F.count("p").alias("n"), F.avg("p").alias("mean"), F.stddev_samp("p").alias("std"),
         F.min("p").alias("min"), F.max("p").alias("max"))
     quartiles = exact_quantiles(present, label, "p", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
-    return plain.join(quartiles, label, "left")
+    return null_safe_join(plain, quartiles, [label], "left")
 
 
 def distinct_rows(df: DataFrame, keys: list[str] | None = None,

@@ -8,11 +8,11 @@ before the cut is looked up. Labelling a row is then a comparison on the row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from turnout import fixed_values as fv
-from turnout.operators.grid import Grid, join_events
-from turnout.operators.position import nth_ids, running_total
+from turnout.operators.grid import Grid
+from turnout.operators.position import nth_ids, null_safe_join, running_total
 from turnout.session import cut_lineage
 
 # share of rows to keep before the cut, applied to the part before the previous cut
@@ -34,7 +34,7 @@ def cut_events(sizes: DataFrame, cuts: Cuts, by: str | None = None) -> DataFrame
     totals = sizes.groupBy(*within).agg(F.sum("n_rows").alias("_all"))
     placed = running_total(sizes, "event_date", ["event_id"], F.col("n_rows"), within)
     if by:
-        placed = placed.join(totals, by)
+        placed = null_safe_join(placed, totals, [by])
     else:
         placed = placed.withColumn("_all", totals.scalar())
     kept = F.col("_all")
@@ -55,11 +55,11 @@ def _on_boundary(label: str) -> Column:
     return (quota > 0) & (quota < F.col("n_rows"))
 
 
-def _wanted(quotas: DataFrame, cuts: Cuts) -> DataFrame:
-    """event_id and quota for every cut that runs through an event."""
+def _wanted(quotas: DataFrame, cuts: Cuts, key: str = "event_id") -> DataFrame:
+    """Key and quota for every cut that runs through an event."""
     through = F.array_compact(F.array(*[
         F.when(_on_boundary(label), F.col(f"{label}_quota")) for label in cuts]))
-    return quotas.select("event_id", F.explode(through).alias("quota")).distinct()
+    return quotas.select(key, F.explode(through).alias("quota")).distinct()
 
 
 def _bounds(quotas: DataFrame, cuts: Cuts) -> DataFrame:
@@ -129,28 +129,44 @@ def split_rows(rows: DataFrame, cuts: Cuts | None = None, by: str | None = None,
     """Any frame of persons and events with a ``split`` column.
 
     ``rows`` is read for the event sizes, for the people of events on a boundary and
-    for the labels; hand in a stored frame if it is costly. Rows of one person at one event
-    stay on one side of a cut.
+    for the labels; hand in a stored frame if it is costly. Every row is labelled once:
+    an event with several dates is cut date by date, missing dates come last, a missing
+    value of ``by`` is a value of its own and missing people come last in their event.
+    Where a person has several rows at an event on a cut, the cut goes through them.
     """
     cuts = cuts or standard_cuts()
     within = [by] if by else []
-    sizes = rows.groupBy("event_id", "event_date", *within).agg(
-        F.count(F.lit(1)).alias("n_rows"))
+    spot = F.struct("event_id", "event_date", *within)
+    keyed = rows.withColumns({"_spot": spot, "_person": F.coalesce("person_id", F.lit(EVERYBODY))})
+    sizes = keyed.groupBy("_spot").agg(F.count(F.lit(1)).alias("n_rows")).select("_spot", "_spot.*", "n_rows")
     quotas = cut_lineage(cut_events(sizes, cuts, by))
-    wanted = _wanted(quotas, cuts)
+    wanted = _wanted(quotas, cuts, "_spot")
     members = cut_lineage(
-        rows.join(wanted.select("event_id").distinct(), "event_id", "left_semi")
-        .groupBy("event_id", "person_id").agg(F.count(F.lit(1)).alias("n")))
-    last = nth_ids(members, wanted, "event_id", "person_id")
+        keyed.join(wanted.select("_spot").distinct(), "_spot", "left_semi")
+        .groupBy("_spot", "_person").agg(F.count(F.lit(1)).alias("n")))
+    last = nth_ids(members, wanted, "_spot", "_person")
     for label in cuts:
         quotas = quotas.join(
-            last.select("event_id", F.col("quota").alias(f"{label}_quota"),
-                        F.col("boundary_id").alias(f"{label}_last")),
-            ["event_id", f"{label}_quota"], "left")
-    extra = bound_columns(cuts)
-    keys = cut_lineage(_bounds(quotas, cuts).select("event_id", *extra))
-    labelled = join_events(rows, keys, keys.count())
-    return labelled.withColumn("split", split_label(cuts, first)).drop(*extra)
+            last.select("_spot", F.col("quota").alias(f"{label}_quota"), F.col("boundary_id").alias(f"{label}_last"),
+                        F.col("boundary_rows").alias(f"{label}_keep")),
+            ["_spot", f"{label}_quota"], "left")
+    extra, keeps = bound_columns(cuts), [f"{label}_keep" for label in cuts]
+    keys = cut_lineage(_bounds(quotas, cuts).select("_spot", *extra, *keeps))
+    bounded = keyed.join(keys, "_spot")
+    cut_people = F.lit(False)
+    for label in cuts:
+        cut_people = cut_people | (F.col(f"{label}_keep").isNotNull() & (F.col("_person") == F.col(f"{label}_upto")))
+    order = [c for c, kind in rows.dtypes if not kind.startswith(("map", "variant"))]
+    turn = W.partitionBy("_spot", "_person").orderBy(F.xxhash64(*order))
+    bounded = bounded.where(~cut_people).withColumn("_turn", F.lit(0)).unionByName(
+        bounded.where(cut_people).withColumn("_turn", F.row_number().over(turn)))
+    label_of = F.lit(first)
+    for label in reversed(cuts):
+        upto, keep = F.col(f"{label}_upto"), F.col(f"{label}_keep")
+        before = (F.col("_person") < upto) | ((F.col("_person") == upto) & (
+            keep.isNull() | (F.col("_turn") <= keep)))
+        label_of = F.when(before, label_of).otherwise(F.lit(label))
+    return bounded.withColumn("split", label_of).select(*rows.columns, "split")
 
 
 def ordered_cut(rows: DataFrame, share: float = 0.8) -> DataFrame:

@@ -43,13 +43,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to reliable storage and read it from there.
+    """Write ``df`` as parquet to reliable storage and read it from there.
 
     Used for small tables that several branches of a plan need (event tables,
     factors) so that a lost executor costs a re-read and not a recomputation.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = scratch_path(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -164,7 +164,8 @@ def vocabulary(spark: SparkSession, path: str) -> str:
     return spark.read.text(path, wholetext=True).first()["value"]
 
 
-def _per_text(docs: DataFrame, content: str, schema: str, row: Callable[[Codec, str], tuple]) -> DataFrame:
+def _per_text(docs: DataFrame, content: str, schema: str, types: list[pa.DataType],
+              row: Callable[[Codec, str], tuple]) -> DataFrame:
     """doc_id and what ``row`` gives for every text; the file travels as one broadcast (1.6 MB)."""
     shared = docs.sparkSession.sparkContext.broadcast(content)
 
@@ -174,7 +175,7 @@ def _per_text(docs: DataFrame, content: str, schema: str, row: Callable[[Codec,
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 rows = [row(coder, text or "") for text in part.column(1).to_pylist()]
-                columns = [part.column(0), *(pa.array(c) for c in zip(*rows))]
+                columns = [part.column(0), *(pa.array(c, kind) for c, kind in zip(zip(*rows), types))]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     names = [field.split(" ")[0] for field in schema.split(", ")]
@@ -187,7 +188,7 @@ def encode_documents(docs: DataFrame, content: str) -> DataFrame:
     Rows are independent, so repeated ones give equal results, null doc_ids
     stay null and an empty table gives no rows. Only doc_id and text are read.
     """
-    return _per_text(docs, content, "doc_id long, ids array<int>", lambda c, t: (c.encode(t),))
+    return _per_text(docs, content, "doc_id long, ids array<int>", [pa.list_(pa.int32())], lambda c, t: (c.encode(t),))
 
 
 def encode_digest(docs: DataFrame, content: str) -> DataFrame:
@@ -197,7 +198,7 @@ def encode_digest(docs: DataFrame, content: str) -> DataFrame:
         listed = ",".join(map(coder.text_of.__getitem__, ids)).encode()
         decoded = coder.decode(ids).encode("utf-8", errors="replace")
         return len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(decoded).hexdigest()
-    return _per_text(docs, content, DIGEST, row)
+    return _per_text(docs, content, DIGEST, [pa.int64(), pa.string(), pa.string()], row)
 
 
 def default_vocabulary(spark: SparkSession) -> str:

@@ -127,8 +127,10 @@ def read_records(archive: Archive, spark: SparkSession) -> DataFrame:
 
 def export_warc(archive: Archive, spark: SparkSession, path: str) -> None:
     """The records as gzipped WARC files, one per task."""
-    read_records(archive, spark).select(F.col("record").cast("string")).write.option(
-        "lineSep", "").option("compression", "gzip").text(path)
+    # the writer puts the blank lines after each record
+    text = F.expr("left(record_text, length(record_text) - 4)")
+    read_records(archive, spark).select(F.col("record").cast("string").alias("record_text")).select(
+        text.alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
 
 
 _SQL = """

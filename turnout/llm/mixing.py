@@ -19,6 +19,8 @@ from turnout.llm.registry import query
 
 STEPS = 4
 ROUNDS = 6
+#: Hex digits of a range of block hashes: 4,096 ranges per source and epoch.
+RANGE = 3
 
 
 @dataclass(frozen=True)
@@ -139,10 +141,16 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix(), keep: list[str] | None = None
     turns = block_sums.join(plan, "source").select(
         "source", "block", "size", "target", "weight", F.col("tokens").alias("whole"),
         F.explode(F.sequence(F.lit(0).cast("long"), epochs - 1)).alias("epoch"))
-    order = Window.partitionBy("source", "epoch").orderBy(
-        _unit(F.lit(str(mix.seed)), F.col("epoch").cast("string"), F.col("block").cast("string")), "block")
-    turns = turns.withColumn("before", F.col("epoch") * F.col("whole") + F.sum("size").over(
-        order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
+    # blocks in hashed order, by ranges of the hash, so that no task holds all blocks of a source
+    place = _unit(F.lit(str(mix.seed)), F.col("epoch").cast("string"), F.col("block").cast("string"))
+    turns = turns.withColumn("place", place).withColumn("part", F.substring("place", 1, RANGE))
+    up_to = (Window.unboundedPreceding, 0)
+    parts = Window.partitionBy("source", "epoch").orderBy("part").rowsBetween(*up_to)
+    within = Window.partitionBy("source", "epoch", "part").orderBy("place", "block").rowsBetween(*up_to)
+    held = turns.groupBy("source", "epoch", "part").agg(F.sum("size").alias("held")).select(
+        "source", "epoch", "part", (F.sum("held").over(parts) - F.col("held")).alias("earlier"))
+    turns = turns.join(held, ["source", "epoch", "part"]).withColumn(
+        "before", F.col("epoch") * F.col("whole") + F.col("earlier") + F.sum("size").over(within) - F.col("size"))
     visits = turns.where(F.col("before") < F.col("target")).groupBy("source", "block", "weight", "target").agg(
         F.collect_list(F.struct("epoch", "before")).alias("visits"))
 

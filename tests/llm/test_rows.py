@@ -276,6 +276,28 @@ def test_crowd_links_equal_pairwise():
     assert found == want and want
 
 
+@pytest.mark.parametrize("labels_of", [lambda i: 0 if i < 28 else i, lambda i: i % 3, lambda i: i, lambda i: 0])
+def test_links_across_blocks_equal_pairwise(spark, monkeypatch, labels_of):
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    rng = random.Random(11)
+    base = sentence(rng, 50).split()
+    texts = []
+    for _ in range(40):
+        copy = list(base)
+        for _ in range(rng.randint(0, 3)):
+            copy[rng.randrange(len(copy))] = "zz"
+        texts.append(" ".join(copy))
+    common = (np.empty(0, np.uint64), np.empty(0))
+    h, o, c = neardup.shingles_of(texts)
+    sets = [(h[o == i], c[o == i]) for i in range(40)]
+    crowds = spark.createDataFrame([(7, i, labels_of(i)) for i in range(40)], "hub long, node long, label long")
+    table = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    found = neardup._links_across(crowds, table, spark.sparkContext.broadcast(common)).collect()
+    want = {(i, j) for i in range(40) for j in range(i + 1, 40) if labels_of(i) != labels_of(j)
+            and max(neardup.weighted_jaccard(sets[i], sets[j], common)) >= 0.8}
+    assert {tuple(r) for r in found} == want and (want or labels_of(1) == labels_of(39))
+
+
 def test_consistent_samples_agree_with_weighted_jaccard():
     rng = random.Random(10)
     common = (np.empty(0, np.uint64), np.empty(0))

@@ -253,14 +253,23 @@ def _crowd_links(texts: list[str], labels: np.ndarray, mine: np.ndarray, theirs:
 def _links_across(crowds: DataFrame, texts: DataFrame, shared) -> DataFrame:
     """Links (left, right) between members (node, label) of one crowd (hub) with different labels.
 
-    A crowd is cut into blocks of about ``BLOCK`` members; every pair of blocks
-    is one group, so that no task holds more than two blocks.
+    A crowd is cut into blocks of about ``BLOCK`` members, those of its most
+    frequent label apart from the rest. Every pair of blocks is one group, so
+    that no task holds more than two blocks; two blocks of the most frequent
+    label never meet, as one label needs no link.
     """
-    blocks = F.ceil(F.col("n") / BLOCK).cast("long")
-    sizes = stored(crowds.groupBy("hub").agg(F.count("node").alias("n")), "crowd-sizes")
+    sizes = crowds.groupBy("hub", "label").agg(F.count("node").alias("n")).groupBy("hub").agg(
+        F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("all"))
+    sizes = stored(sizes.select(
+        "hub", F.col("most.label").alias("main"), F.ceil(F.col("most.n") / BLOCK).cast("long").alias("main_blocks"),
+        F.ceil((F.col("all") - F.col("most.n")) / BLOCK).cast("long").alias("rest_blocks")
+    ).where("rest_blocks > 0"), "crowd-sizes")
+    spread, main = F.xxhash64("node"), F.col("label") == F.col("main")
     dealt = crowds.join(sizes, "hub").select(
-        "hub", "node", "label", F.pmod(F.xxhash64("node"), blocks).alias("block"),
-        F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
+        "hub", "node", "label", F.when(main, F.pmod(spread, "main_blocks")).otherwise(
+            F.col("main_blocks") + F.pmod(spread, "rest_blocks")).alias("block"),
+        F.explode(F.sequence(F.when(main, F.col("main_blocks")).otherwise(F.lit(0).cast("long")),
+                             F.col("main_blocks") + F.col("rest_blocks") - 1)).alias("other"))
     rows = dealt.join(texts, "node").select(
         "hub", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
         "node", "label", "block", "text")

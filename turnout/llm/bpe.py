@@ -26,8 +26,9 @@ from turnout.llm.registry import query
 
 #: Fixed value: how byte-level BPE vocabularies of this kind split text into words.
 WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words remembered by one task; the memory starts anew beyond that, results do not change.
-REMEMBERED = 800_000
+#: Words remembered by one worker; the memory starts anew beyond that, results do not change. Workers
+#: outlive their tasks, so this memory (about 420 bytes a word) stays beside whatever runs next.
+REMEMBERED = 200_000
 #: Longer words are not remembered.
 LONGEST = 64
 #: Fragments up to this length are merged by plain search.

@@ -30,6 +30,9 @@ SAMPLES = BANDS * ROWS
 #: Shingles in a smaller part of all documents weigh 1; the weight of more frequent ones falls
 #: with the logarithm of their frequency, to one half for a shingle of every document.
 COMMON = 0.01
+#: Ranges of hashes in which the shingles of a block of documents are counted.
+RANGE_BITS = 4
+RANGES = 1 << RANGE_BITS
 #: Candidates for common shingles that are counted in one pass.
 COUNTED = 2_000_000
 #: Members of a block when groups under one hub are compared.
@@ -144,10 +147,14 @@ def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [shingles_of(part)[0] for _, part in text_parts(batch)]
-            distinct, counts = np.unique(np.concatenate(found), return_counts=True) if found else ([], [])
-            frequent = distinct[counts > COMMON * batch.num_rows] if len(distinct) else []
+            frequent = []
+            for at in range(RANGES):  # one range of hashes at a time, for the memory of sorting
+                some = [f[f >> np.uint64(64 - RANGE_BITS) == np.uint64(at)] for f in found]
+                distinct, counts = np.unique(np.concatenate(some), return_counts=True) if some else (np.empty(0), np.empty(0))
+                frequent.append(distinct[counts > COMMON * batch.num_rows])
+            del found
             yield pa.RecordBatch.from_pydict({
-                "shingle": np.asarray(frequent, dtype=np.uint64).view(np.int64)})
+                "shingle": np.concatenate(frequent).astype(np.uint64).view(np.int64)})
 
     named = stored(texts.mapInArrow(local, "shingle long").distinct(), "shingle-candidates")
     documents = docs.count()

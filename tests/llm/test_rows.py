@@ -171,6 +171,22 @@ def test_language_profiles(spark):
     assert {r.lang_pred for r in nobody} == {"und"}
 
 
+def test_noise_and_unlearned_languages_go(spark):
+    rng = random.Random(21)
+    ends = {"xx": ["ka", "mi", "to", "lu", "na", "pe"], "yy": ["stren", "wrux", "zwol", "grif", "bram", "tch"],
+            "zz": ["ñio", "éau", "què", "ôxe", "çav", "ïlh"]}
+    speak = lambda lang, n: " ".join("".join(rng.choice(ends[lang]) for _ in range(rng.randint(1, 3)))
+                                     for _ in range(n))
+    noise = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9)))
+                               for _ in range(n))
+    rows = [(i, speak("xx" if i % 2 else "yy", rng.choice([8, 40, 300])), "xx" if i % 2 else "yy", None, 0)
+            for i in range(600)]
+    rows += [(1000 + i, noise(n), None, None, 0) for i, n in enumerate([20, 50, 200, 1000, 3000] * 4)]
+    rows += [(2000 + i, speak("zz", n), None, None, 0) for i, n in enumerate([20, 200, 1000] * 4)]
+    kept = language.spoken_documents(spark, spark.createDataFrame(rows, DOCS), "").select("doc_id").collect()
+    assert sorted(r.doc_id for r in kept) == list(range(600))
+
+
 def test_profile_counts_brute_force():
     text = "Ab, ab-C é"
     grams, counts = language.counted(language.grams_of(text))

@@ -13,7 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from turnout.llm.common import stored, table
 from turnout.llm.registry import query
@@ -23,7 +23,12 @@ PROFILE = 400
 MOST_LANGUAGES = 2_000
 SPACE = 32
 PENDING = 2_000_000
-#: The pipeline rejects texts whose n-grams are further out of place than this with every profile.
+#: The pipeline rejects texts that score less than LIMIT_SHARE of what all but LIMIT_TAIL of the training
+#: documents of their language and size score. With few documents the limit is drawn to that of the language,
+#: of all documents and at last LEAST_SCORE, each counting as LIMIT_PRIOR documents.
+LIMIT_TAIL = 0.001
+LIMIT_SHARE = 0.8
+LIMIT_PRIOR = 50
 LEAST_SCORE = 0.05
 
 
@@ -120,9 +125,11 @@ def learn_profiles(docs: DataFrame, size: int = PROFILE) -> DataFrame:
 
 
 def predict(docs: DataFrame, profiles: DataFrame, size: int = PROFILE,
-            names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+            names: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:
     """Language and score added to the columns of ``docs`` under ``names``, from ``text`` alone.
 
+    A third name adds how many distinct n-grams the text was judged by.
+
     A null text, one without letters, or an empty set of profiles gives ``und``
     and 0. Ties go to the first language by name. Score is 1 less the distance
     to the nearest profile as a part of the largest possible. Rows are
@@ -139,11 +146,11 @@ def predict(docs: DataFrame, profiles: DataFrame, size: int = PROFILE,
         known.append((own["gram"].to_numpy(np.int64), own["place"].to_numpy(np.int64) - 1))
     shared = docs.sparkSession.sparkContext.broadcast((languages, known))
 
-    def judge(text: str) -> tuple[str, float]:
+    def judge(text: str) -> tuple[str, float, int]:
         languages, tables = shared.value
         own = ranked(text, size)
         if not len(own) or not languages:
-            return "und", 0.0
+            return "und", 0.0, len(own)
         places = np.arange(len(own))
         best, nearest = None, None
         for name, (grams, order) in zip(languages, tables):
@@ -151,20 +158,20 @@ def predict(docs: DataFrame, profiles: DataFrame, size: int = PROFILE,
             far = int(np.where(grams[at] == own, np.abs(order[at] - places), size).sum())
             if nearest is None or far < nearest:
                 best, nearest = name, far
-        return best, max(0.0, 1.0 - nearest / (size * len(own)))
+        return best, max(0.0, 1.0 - nearest / (size * len(own))), len(own)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in text_parts(batch, "text"):
                 found = [judge(t) for t in texts]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array([x[0] for x in found], pa.string()),
-                     pa.array([x[1] for x in found], pa.float64())], names_out)
+                added = [pa.array([x[i] for x in found], kind) for i, kind in
+                         enumerate((pa.string(), pa.float64(), pa.int64())[:len(names)])]
+                yield pa.RecordBatch.from_arrays([*part.columns, *added], names_out)
 
     kept = docs.drop(*names)
     names_out = [*kept.columns, *names]
-    schema = T.StructType([*kept.schema.fields, T.StructField(names[0], T.StringType()),
-                           T.StructField(names[1], T.DoubleType())])
+    schema = T.StructType([*kept.schema.fields, *(
+        T.StructField(n, t) for n, t in zip(names, (T.StringType(), T.DoubleType(), T.LongType())))])
     return kept.mapInArrow(run, schema)
 
 
@@ -179,13 +186,48 @@ def learned_profiles(docs: DataFrame) -> DataFrame:
     return stored(learn_profiles(docs.where(~held_out(4, 2)).select("lang", "text")), "language-profiles")
 
 
+def size_band(grams: Column) -> Column:
+    """Texts of about equal size: the power of two below their number of distinct n-grams."""
+    return F.floor(F.log2(F.greatest(grams, F.lit(1)).cast("double"))).cast("int")
+
+
+def least_scores(docs: DataFrame, profiles: DataFrame) -> DataFrame:
+    """(lang, band, least): least score of a text of that language and size.
+
+    From the scores of all rows that the profiles were learned from and whose
+    language is found right; every learned language has every band up to the
+    profile's size.
+    """
+    rows = predict(docs.where("text IS NOT NULL AND lang IS NOT NULL").select("lang", "text"), profiles,
+                   names=("lang_pred", "score", "grams")).where("lang_pred = lang")
+    counts = stored(rows.groupBy("lang", size_band(F.col("grams")).alias("band"),
+                                 F.round("score", 3).alias("score")).agg(F.count(F.lit(1)).alias("n")), "language-scores")
+    low = [F.percentile("score", LIMIT_TAIL, F.col("n")).alias("low"), F.sum("n").alias("n")]
+
+    def drawn(wider: Column | float) -> Column:
+        n = F.coalesce("n", F.lit(0))
+        return (n * F.coalesce("low", F.lit(0.0)) * LIMIT_SHARE + LIMIT_PRIOR * wider) / (n + LIMIT_PRIOR)
+
+    whole = counts.agg(*low).select(drawn(F.lit(LEAST_SCORE)).alias("wider"))
+    names = profiles.select("lang").distinct()
+    langs = names.join(counts.groupBy("lang").agg(*low), "lang", "left").join(F.broadcast(whole)).select(
+        "lang", drawn(F.col("wider")).alias("wider"))
+    bands = langs.withColumn("band", F.explode(F.sequence(F.lit(0), F.lit(PROFILE.bit_length() - 1))))
+    return bands.join(counts.groupBy("lang", "band").agg(*low), ["lang", "band"], "left").select(
+        "lang", "band", drawn(F.col("wider")).alias("least"))
+
+
 def spoken_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents without letters, or unlike every language, go."""
     taken = {c.lower() for c in docs.columns}
-    lang, score = (next(f"{n}{i}" for i in range(len(taken) + 1) if f"{n}{i}" not in taken)
-                   for n in ("lang_pred", "score"))
-    known = predict(docs, learned_profiles(docs), names=(lang, score))
-    return known.where((F.col(lang) != "und") & (F.col(score) >= LEAST_SCORE)).drop(lang, score)
+    lang, score, grams, band, least = (next(f"{n}{i}" for i in range(len(taken) + 1) if f"{n}{i}" not in taken)
+                                       for n in ("lang_pred", "score", "grams", "band", "least"))
+    profiles = learned_profiles(docs)
+    limits = stored(least_scores(docs.where(~held_out(4, 2)), profiles), "language-limits").select(
+        F.col("lang").alias(lang), F.col("band").alias(band), F.col("least").alias(least))
+    known = predict(docs, profiles, names=(lang, score, grams)).where(F.col(lang) != "und")
+    return known.withColumn(band, size_band(F.col(grams))).join(F.broadcast(limits), [lang, band]).where(
+        F.col(score) >= F.col(least)).select(*docs.columns)
 
 
 @query("op7_language")

@@ -75,6 +75,27 @@ def test_url_rules_and_templates(spark):
     assert urls.filter_urls(pages.limit(0)).count() == 0
 
 
+def test_url_branches_merge_by_evidence_alone(spark):
+    rules = (("block", "w.com/bad/"), ("allow", "w.com/s"), ("block", "d.com/a/b/c/d/e/f/g/x/"),
+             ("allow", "d.com/a/b/c/d/e/f/g/y/"), ("block", "m.com/de/"), ("allow", "m.com/fr/"))
+    letters = "abcdefghij"
+    given = [f"http://w.com/s{letters[i // 10]}{letters[i % 10]}/{j}" for i in range(80) for j in range(4)]
+    given += [f"http://w.com/bad/{j}" for j in range(12)]
+    given += [f"http://d.com/a/b/c/d/e/f/g/{k}/{j}" for k in "xy" for j in range(20)]
+    given += [f"http://m.com/{k}/{j}" for k in ("de", "fr", "en", "es") for j in range(20)]
+    given += [f"http://u.com/{k}/p{letters[j]}" for k in ("ann", "bob", "cyd") for j in range(10)]
+    pages = spark.createDataFrame(list(enumerate(given)), "page_id long, url string")
+    rows = urls.filter_urls(pages, rules).collect()
+    assert len(rows) == len(given)
+    template = {given[r.page_id].split("//")[1]: r.template for r in rows}
+    share = {given[r.page_id].split("//")[1]: r.share for r in rows}
+    assert template["w.com/saa/0"] == template["w.com/shj/3"] == "/*/{n}" and template["w.com/bad/3"] == "/bad/{n}"
+    assert share["w.com/bad/3"] > 0.5 > share["w.com/saa/0"]
+    assert template["d.com/a/b/c/d/e/f/g/x/1"] == "/a/b/c/d/e/f/g/x/{n}" and share["d.com/a/b/c/d/e/f/g/y/1"] < 0.5
+    assert (template["m.com/de/1"], template["m.com/fr/1"]) == ("/de/{n}", "/fr/{n}")
+    assert template["m.com/en/1"] == template["m.com/es/1"] == "/*/{n}" and template["u.com/bob/pa"] == "/*/*"
+
+
 def test_mixture_meets_its_target(spark):
     rng = random.Random(2)
     rows = [(i, sentence(rng, rng.randint(1, 30)) if i % 9 else None, "en",

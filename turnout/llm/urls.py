@@ -1,16 +1,19 @@
 """URL filter: rules first, then a path-template tree per host.
 
 Segments are generalised by shape (digits, long hex), counted per host, and the
-tree of these shapes is walked down from the root: children whose own children
-are spread like those of all their siblings merge into one wildcard, and so do
-the children of a node with very many. Pages that a rule decides are the labels
-of the resulting templates; a template is rejected when its share of blocked
-labels, smoothed towards its host's and the whole corpus's, reaches a threshold.
+tree of these shapes is walked down from the root to the ends of all paths:
+children merge into one wildcard unless their own children or their labels show
+them to differ from their siblings, however many these are. Pages that a rule
+decides are the labels of the resulting templates; a template is rejected when
+its share of blocked labels, smoothed towards its host's and the whole corpus's,
+reaches a threshold.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -25,13 +28,14 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 @dataclass(frozen=True)
 class Settings:
-    """``depth``: levels of the tree, deeper segments count as one; ``overlap``: least likeness of a
-    branch to its siblings to merge; ``fan_out``: children from which a node is all wildcard;
-    ``weight``: labels that the smoothing prior counts for; ``reject``: least share of blocked labels."""
+    """``overlap``: likeness to its siblings from which a branch merges in any case; ``alpha``: chance
+    that a branch like its siblings counts as another by its children; ``z``: least deviation, in
+    standard errors, of a branch's share of blocked labels that parts it; ``weight``: labels that the
+    smoothing prior counts for; ``reject``: least share of blocked labels."""
 
-    depth: int = 6
     overlap: float = 0.6
-    fan_out: int = 50
+    alpha: float = 0.05
+    z: float = 1.96
     weight: float = 5.0
     reject: float = 0.5
 
@@ -56,47 +60,78 @@ def match_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]
     return rule, verdict
 
 
-def shape(path: Column, depth: int) -> Column:
-    """Segments by shape, up to ``depth``; what lies deeper is one ``**``."""
+def shape(path: Column) -> Column:
+    """Segments by shape."""
     marked = F.regexp_replace(path, r"(^|/)[0-9a-fA-F]{16,}(?=/|$)", "$1{h}")
     marked = F.regexp_replace(marked, r"[0-9]+", "{n}")
-    parts = F.split(F.regexp_replace(marked, r"^/", ""), "/", -1)
-    return F.when(F.size(parts) > depth, F.concat(
-        F.slice(parts, 1, depth), F.array(F.lit("**")))).otherwise(parts)
+    return F.split(F.regexp_replace(marked, r"^/", ""), "/", -1)
+
+
+def merging(here: DataFrame, settings: Settings) -> DataFrame:
+    """(host, above, child, alone, merge) from rows (host, above, child, follow, n, n_block, n_allow).
+
+    A child is compared to all its siblings together. It differs by what follows
+    if the distance of the two distributions is more than chance gives with
+    ``alpha`` for any number of values (McDiarmid's bound on the Euclidean
+    distance), and they overlap by less than ``overlap``; by labels if the shares
+    of blocked ones are ``z`` standard errors apart (with Yates's correction).
+    All of it comes from sums over the child's own rows and over the node.
+    ``alone`` marks nodes of one row.
+    """
+    number = lambda c: F.col(c).cast("double")
+    by_follow = here.groupBy("host", "above", "child", "follow").agg(
+        F.sum("n").alias("n"), F.sum("n_block").alias("b"), F.sum("n_allow").alias("a"),
+        F.count(F.lit(1)).alias("rows"))
+    pooled = by_follow.groupBy("host", "above", "follow").agg(
+        F.sum("n").alias("pool"), F.sum("b").alias("b"), F.sum("a").alias("a"), F.sum("rows").alias("rows"))
+    nodes = pooled.groupBy("host", "above").agg(
+        F.sum("pool").alias("n_node"), F.sum(number("pool") * number("pool")).alias("pool_pool"),
+        F.sum("b").alias("b_node"), F.sum("a").alias("a_node"), F.sum("rows").alias("rows_node"))
+    child_sum = by_follow.groupBy("host", "above", "child").agg(F.sum("n").alias("n_child"))
+    others = F.greatest(number("n_node") - number("n_child"), F.lit(1.0))
+    sums = (by_follow.join(pooled.select("host", "above", "follow", "pool"), ["host", "above", "follow"])
+            .join(child_sum, ["host", "above", "child"]).join(nodes, ["host", "above"])
+            .groupBy("host", "above", "child", "n_child", "n_node", "pool_pool", "b_node", "a_node", "rows_node").agg(
+                F.sum("b").alias("b"), F.sum("a").alias("a"),
+                F.sum(number("n") * number("n")).alias("own_own"), F.sum(number("n") * number("pool")).alias("own_pool"),
+                F.round(F.sum(F.least(number("n") / F.col("n_child"),
+                                      (number("pool") - number("n")) / others)), 9).alias("like")))
+    n, rest = number("n_child"), number("n_node") - number("n_child")
+    apart = (F.col("own_own") / (n * n) - 2 * (F.col("own_pool") - F.col("own_own")) / (n * rest)
+             + (F.col("pool_pool") - 2 * F.col("own_pool") + F.col("own_own")) / (rest * rest))
+    bound = (1 + math.sqrt(math.log(1 / settings.alpha))) ** 2 * (1 / n + 1 / rest)
+    follows_differ = (F.round(apart, 9) > F.round(bound, 9)) & (F.col("like") < settings.overlap)
+    m, others_m = number("b") + number("a"), number("b_node") + number("a_node") - number("b") - number("a")
+    share = number("b_node") / (number("b_node") + number("a_node"))
+    gap = F.abs(number("b") / m - (number("b_node") - number("b")) / others_m) - (1 / m + 1 / others_m) / 2
+    labels_differ = (m > 0) & (others_m > 0) & F.coalesce(F.round(
+        gap / F.sqrt(F.nullif(share * (1 - share), F.lit(0.0)) * (1 / m + 1 / others_m)), 9) >= settings.z, F.lit(False))
+    return sums.select("host", "above", "child", (F.col("rows_node") == 1).alias("alone"), F.when(
+        rest > 0, ~follows_differ & ~labels_differ).otherwise(F.lit(False)).alias("merge"))
 
 
 def template_tree(shapes: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Adds ``template`` to rows (host, segs, n, ...) that are distinct in host and segs."""
-    def names(level: int) -> tuple[Column, Column]:
-        pick = lambda i: F.coalesce(F.get("segs", F.lit(i)), F.lit(""))
-        return pick(level), F.when(F.size("segs") > level + 1, pick(level + 1)).otherwise(F.lit("<end>"))
-
-    rows = shapes.withColumn("template", F.lit(""))
-    for level in range(settings.depth + 1):
-        child, follow = names(level)
-        here = rows.where(F.size("segs") > level).select(
-            "host", F.col("template").alias("above"), child.alias("child"), follow.alias("follow"), "n")
-        by_follow = here.groupBy("host", "above", "child", "follow").agg(F.sum("n").alias("n"))
-        pooled = by_follow.groupBy("host", "above", "follow").agg(F.sum("n").alias("pool"))
-        child_sum = by_follow.groupBy("host", "above", "child").agg(F.sum("n").alias("n_child"))
-        node_sum = child_sum.groupBy("host", "above").agg(
-            F.sum("n_child").alias("n_node"), F.count("child").alias("n_children"))
-        likeness = (by_follow.join(pooled, ["host", "above", "follow"])
-                    .join(child_sum, ["host", "above", "child"]).join(node_sum, ["host", "above"])
-                    .groupBy("host", "above", "child", "n_children")
-                    .agg(F.round(F.sum(F.least(F.col("n") / F.col("n_child"),
-                                               F.col("pool") / F.col("n_node"))), 9).alias("like")))
-        merged = likeness.select("host", "above", "child", (
-            (F.col("n_children") >= settings.fan_out)
-            | ((F.col("n_children") > 1) & (F.col("like") >= settings.overlap))).alias("merge"))
-        kept = rows.withColumn("child", F.when(F.size("segs") > level, child)).withColumnRenamed("template", "above")
-        step = F.when(F.col("child").isNull(), F.col("above")).otherwise(F.concat(
-            F.col("above"), F.lit("/"), F.when(F.col("merge"), F.lit("*")).otherwise(F.col("child"))))
-        rows = stored(kept.join(merged, ["host", "above", "child"], "left").select(
-            *[c for c in shapes.columns], step.alias("template")), "url-tree")
-        if level >= settings.depth or not rows.where(F.size("segs") > level + 1).limit(1).count():
-            break
-    return rows
+    """Adds ``template`` to rows (host, segs, n, ...) that are distinct in host and segs.
+
+    A path that is the only one below its node is finished there, so there are as
+    many rounds as the longest beginning that two paths share, plus one.
+    """
+    rows, finished, level = shapes.withColumn("template", F.lit("")), [], 0
+    while True:
+        child = F.get("segs", F.lit(level))
+        follow = F.coalesce(F.get("segs", F.lit(level + 1)), F.lit("<end>"))
+        named = rows.withColumnRenamed("template", "above").withColumn("child", child)
+        merged = merging(named.select("host", "above", "child", follow.alias("follow"), "n", "n_block", "n_allow"), settings)
+        tail = F.array_join(F.slice("segs", F.lit(level + 1), F.size("segs")), "/")
+        stepped = stored(named.join(merged, ["host", "above", "child"]).select(
+            *shapes.columns, F.concat("above", F.lit("/"), F.when(F.col("alone"), tail).when(
+                F.col("merge"), F.lit("*")).otherwise(F.col("child"))).alias("template"),
+            (F.col("alone") | (F.size("segs") == level + 1)).alias("finished")), "url-tree")
+        finished.append(stepped.where("finished").drop("finished"))
+        rows = stepped.where("NOT finished").drop("finished")
+        if not rows.limit(1).count():
+            return reduce(DataFrame.unionAll, finished)
+        level += 1
 
 
 def judge_templates(tree: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -126,7 +161,7 @@ def filter_urls(pages: DataFrame, rules=RULES, settings: Settings = Settings())
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
     rule, ruled = match_rule(F.col("host"), F.col("path"), rules)
     rows = rows.select("*", rule.alias("rule"), ruled.alias("ruled"),
-                       shape(F.col("path"), settings.depth).alias("segs"))
+                       shape(F.col("path")).alias("segs"))
     shapes = stored(rows.groupBy("host", "segs").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("ruled") == "block").alias("n_block"),
         F.count_if(F.col("ruled") == "allow").alias("n_allow")), "url-shapes")

@@ -145,6 +145,18 @@ def test_secrets_brute_force(spark):
     assert [r.text for r in secrets.redact(docs_of(spark, [None, "", "plain words"])).collect()] == [None, "", "plain words"]
 
 
+def test_redaction_of_secrets_beside_allowed_pieces(spark):
+    key = "q7Zr2WkX9bTn4LvJ6mYc8HsD1fPg"
+    letters = "qWzRkXbTnLvJmYcHsDfPgQaU"
+    gone = [key, f"example/{key}", f"2024-01-01-{key}", letters, f"EXAMPLE_{letters}", "A9F3C07BE1D82F64B5A0", "A9F3c07BE1D82f64B5A0C"]
+    stay = ["abcdefgh/EXAMPLE/xxxx_XXXX", "2024-01-01/2024-01-02", "losasmentementemente", "EXAMPLE_EXAMPLE_EXAMPLE",
+            "abcdefghijklmnopqrstuvwxyz", "keitstlichschenverpf"]
+    texts = [f"see {t} there" for t in gone + stay]
+    found = [r.text for r in secrets.redact(docs_of(spark, texts)).orderBy("doc_id").collect()]
+    assert all("[SECRET]" in t and "there" in t and key not in t and letters not in t for t in found[:len(gone)])
+    assert found[len(gone):] == texts[len(gone):]
+
+
 def test_bpe_as_the_library(spark):
     tokenizers = pytest.importorskip("tokenizers")
     public = pytest.importorskip("public_tokenizers")

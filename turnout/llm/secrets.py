@@ -4,13 +4,15 @@ The entropy method looks at runs of token characters. A window slides over a
 run; the counts of its characters change by the one that enters and the one
 that leaves, and with them the sum of c*log2(c), kept in whole millionths so
 that nothing drifts. Windows of hexadecimal runs and of mixed runs have their
-own length and threshold. Runs on the allow list are passed over.
+own length and threshold. Runs on the allow list are passed over. Redaction
+has wider classes and a stricter allow list than the query.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -32,15 +34,26 @@ ALLOW = ("^[A-Za-z/_=-]+$", "^[0-9/_=+-]+$", "EXAMPLE|example|xxxx|XXXX|01234567
 
 @dataclass(frozen=True)
 class CharacterClass:
-    """``pattern`` decides whether a run belongs to the class; the first that fits holds."""
+    """``pattern`` decides whether a run belongs to the class; the first that fits holds.
+
+    With ``shrinks`` a run shorter than the window is one window, with the same
+    share of the most bits that its length can have.
+    """
 
     pattern: str
     window: int
     bits: float
+    shrinks: bool = False
 
 
 CLASSES = (CharacterClass("^[0-9a-fA-F]+$", 24, 3.05), CharacterClass("[0-9]", 20, 3.55))
 LEAST_RUN = 20
+#: What redaction goes by: allowed pieces must make up the whole run, letters alone can be a secret,
+#: and hexadecimal runs of any length have a window. The query's SQL has the narrower rules above.
+REDACT_ALLOW = ("^[0-9/_=+-]+$", "^(?:EXAMPLE|example|xxxx|XXXX|0123456789|abcdefghijklmnopqrstuvwxyz|abcdefgh"
+                "|ABCDEFGHIJKLMNOPQRSTUVWXYZ|[/_=+-])+$")
+REDACT_CLASSES = (CharacterClass("^[0-9a-fA-F]+$", 24, 3.05, shrinks=True), CharacterClass("[0-9]", 20, 3.55),
+                  CharacterClass("[A-Za-z]", 20, 3.6))
 RUN = f"[A-Za-z0-9+/_=-]{{{LEAST_RUN},}}"
 
 
@@ -88,10 +101,14 @@ def _part(count: Column) -> Column:
     return F.when(count > 1, F.round(count * F.log2(count.cast("double")) * 1e6)).otherwise(0).cast("long")
 
 
-def window_range(run: Column, window: int, bits: float) -> Column:
-    """(first, last, n): offsets of the first and last window of at least ``bits``, and how many."""
+def most_sum(window: int, bits: float) -> int:
+    """Sum of c*log2(c), in millionths, up to which a window has at least ``bits``."""
+    return int((math.log2(window) - bits) * window * 1e6)
+
+
+def window_range(run: Column, window: Column, least_sum: Column) -> Column:
+    """(first, last, n): offsets of the first and last window with a sum of at most ``least_sum``, and how many."""
     slots = 128
-    least_sum = int((math.log2(window) - bits) * window * 1e6)
     code = lambda i: F.ascii(F.substring(run, i, 1))
     blank = F.struct(
         F.array_repeat(F.lit(0), slots).alias("counts"), F.lit(0).cast("long").alias("total"),
@@ -124,16 +141,25 @@ def entropy_spans(text: Column, classes=CLASSES, allow=ALLOW) -> Column:
     known = "|".join(f"(?:{a})" for a in allow)
     runs = F.filter(runs, lambda r: ~r["found"].rlike(known))
 
-    def scored(r: Column) -> Column:
-        result = F.lit(None).cast("struct<first:int,last:int,n:int>")
-        size = F.lit(0)
+    def sized(r: Column) -> Column:
+        window, least = F.lit(None).cast("int"), F.lit(None).cast("long")
         for c in reversed(classes):
             fits = r["found"].rlike(c.pattern)
-            result = F.when(fits, window_range(r["found"], c.window, c.bits)).otherwise(result)
-            size = F.when(fits, F.lit(c.window)).otherwise(size)
-        return F.struct(r["start"].alias("start"), result.alias("hit"), size.alias("size"))
+            sizes = range(LEAST_RUN, c.window) if c.shrinks else ()
+            least = F.when(fits, reduce(lambda rest, n: F.when(F.length(r["found"]) == n, F.lit(
+                most_sum(n, c.bits * math.log2(n) / math.log2(c.window)))).otherwise(rest), sizes,
+                F.lit(most_sum(c.window, c.bits)))).otherwise(least)
+            window = F.when(fits, F.least(F.length(r["found"]), F.lit(c.window)) if c.shrinks
+                            else F.lit(c.window)).otherwise(window)
+        return F.struct(r["start"].alias("start"), r["found"].alias("found"), window.alias("size"),
+                        least.cast("long").alias("least"))
+
+    def scored(r: Column) -> Column:
+        return F.struct(r["start"].alias("start"), window_range(r["found"], r["size"], r["least"]).alias("hit"),
+                        r["size"].alias("size"))
 
-    hits = F.filter(F.transform(runs, scored), lambda r: r["hit"]["n"] > 0)
+    known_size = F.filter(F.transform(runs, sized), lambda r: r["size"].isNotNull())
+    hits = F.filter(F.transform(known_size, scored), lambda r: r["hit"]["n"] > 0)
     spans = F.transform(hits, lambda r: F.struct(
         (r["start"] + r["hit"]["first"]).alias("start"), F.lit(3).alias("ord"),
         (r["start"] + r["hit"]["last"] + r["size"]).alias("end"), F.lit("entropy").alias("kind")))
@@ -176,7 +202,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """
     spans = F.array_sort(F.concat(
         F.transform(base_spans(text_of()), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))),
-        F.transform(entropy_spans(text_of()), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))))
+        F.transform(entropy_spans(text_of(), REDACT_CLASSES, REDACT_ALLOW), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))))
     joined = F.aggregate(spans, F.array().cast("array<struct<start:int,end:int>>"), lambda acc, s: F.when(
         (F.size(acc) > 0) & (F.get(acc, F.size(acc) - 1)["end"] >= s["start"]),
         F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(

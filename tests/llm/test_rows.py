@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -270,6 +271,25 @@ def test_quality_learns(spark):
     assert {r.score for r in quality.score_documents(docs.limit(3), None).collect()} == {0.5}
 
 
+def test_quality_learns_from_whole_texts(spark, monkeypatch):
+    rng = random.Random(17)
+    rows = []
+    for i in range(60):
+        head = [sentence(rng, 6) + "." for _ in range(220)]
+        tail = [sentence(rng, 6) + (" ### $$$ |||" if i % 2 else ".") for _ in range(220)]
+        rows.append((i, "\n".join(head + tail), None, None, 0))
+    docs = spark.createDataFrame(rows, DOCS)
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(60)], "doc_id long, quality int")
+    used = []
+    monkeypatch.setattr(quality, "fit", lambda features, owner, labels: used.append((np.bincount(owner), labels)))
+    for most in (400_000, 5_000, 1):
+        monkeypatch.setattr(quality, "FIT_LINES", most, raising=False)
+        quality.learn_quality(docs, labels)
+    n = sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(60))
+    assert [len(sizes) for sizes, _ in used][:2] == [n, 12] and len(used[2][0]) == 2
+    assert all((sizes == 440).all() and set(found) == {0, 1} for sizes, found in used)
+
+
 def test_near_duplicates_brute_force(spark):
     rng = random.Random(8)
     texts: list = []

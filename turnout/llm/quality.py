@@ -15,15 +15,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from turnout.llm.common import table
+from turnout.llm.common import stored, table
 from turnout.llm.language import held_out
 from turnout.llm.registry import query
 from turnout.llm.words import text_parts, words_of
 
 #: Most labelled documents used to fit; those with the smallest hashed ids are taken.
 FIT_DOCUMENTS = 6_000
-#: Most lines of a document used to fit; scoring uses all lines.
-FIT_LINES = 200
+#: Documents are taken whole, in that order, until they have so many lines together.
+FIT_LINES = 400_000
 STEPS = 150
 RATE = 0.1
 DECAY = 1e-3
@@ -151,7 +151,6 @@ def score_texts(texts: list[str], model: dict | None) -> np.ndarray:
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, texts in text_parts(batch):
-            texts = ["\n".join(t.split("\n")[:FIT_LINES]) for t in texts]
             features, _, owner = line_features(texts)
             cut = np.split(features, np.flatnonzero(np.diff(owner)) + 1)
             yield pa.RecordBatch.from_pydict({
@@ -162,14 +161,23 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn_quality(docs: DataFrame, labels: DataFrame, documents: int = FIT_DOCUMENTS) -> dict | None:
     """A model from labelled rows outside the held-out fifth; None if there are not both labels.
 
-    Fitted on up to ``documents`` labelled documents, chosen by hash, and up to
-    ``FIT_LINES`` lines of each. Of repeated labels the smallest counts; rows
-    with a null id or label teach nothing.
+    Fitted on up to ``documents`` labelled documents, chosen by hash, all of
+    their lines. No further document is taken after ``FIT_LINES`` lines, but the
+    first of each label. Of repeated labels the smallest counts; rows with a null
+    id or label teach nothing.
     """
     chosen = labels.where(~held_out(5, 0) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.min("quality").alias("quality")).where("quality IN (0, 1)").orderBy(
         F.xxhash64("doc_id"), "doc_id").limit(documents)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text")
+    rows = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
+        "doc_id", "quality", "text"), "quality-sample")
+    lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    sizes = rows.groupBy("doc_id", "quality", F.xxhash64("doc_id").alias("place")).agg(
+        F.sum(F.coalesce(lines, F.lit(1))).alias("lines")).toPandas().sort_values(["place", "doc_id"])
+    taken = (sizes["lines"].cumsum() - sizes["lines"] < FIT_LINES) | ~sizes["quality"].duplicated()
+    if not taken.all():
+        rows = rows.join(F.broadcast(docs.sparkSession.createDataFrame(
+            [(int(i),) for i in sizes["doc_id"][taken]], "doc_id long")), "doc_id").select("doc_id", "quality", "text")
     found = rows.mapInArrow(_features, "doc_id long, quality int, features binary").toPandas().sort_values(
         ["doc_id", "features"])
     if found["quality"].nunique() < 2:

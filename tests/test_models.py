@@ -145,3 +145,34 @@ def test_flagship_and_audience(spark):
     share = audience_gender_share(audience, people).first()
     assert share.male_share == 0.5 and share.population_male_share == 1.0
     assert audience_age(audience, people).first().audience_age == 40
+
+
+def test_registered_fits_have_their_whole_parameters(monkeypatch):
+    import inspect
+
+    from turnout.catalog import models as catalog
+
+    used = {}
+
+    def caught(name, function):
+        def stub(*args, **kwargs):
+            bound = inspect.signature(function).bind(*args, **kwargs)
+            bound.apply_defaults()
+            used[name] = bound.arguments["variant"]
+            raise InterruptedError
+        return stub
+
+    monkeypatch.setattr(catalog, "trainval", lambda *_: None)
+    monkeypatch.setattr(catalog.ensemble, "gbt_fit", caught("importance", catalog.ensemble.gbt_fit))
+    with pytest.raises(InterruptedError):
+        catalog.feature_importance(None, "")
+    monkeypatch.setattr(catalog, "fitted_series", lambda *_: (None, None))
+    monkeypatch.setattr(catalog, "users", lambda *_: None)
+    monkeypatch.setattr(catalog, "cut_lineage", lambda x: x)
+    frame = type("Frame", (), {"filter": lambda self, _: self, "drop": lambda self, _: self})()
+    monkeypatch.setattr(catalog.als, "als_predict", lambda *_: frame)
+    monkeypatch.setattr(catalog.ensemble, "content_rows", lambda *_: None)
+    monkeypatch.setattr(catalog.ensemble, "content_gbt", caught("content", catalog.ensemble.content_gbt))
+    with pytest.raises(InterruptedError):
+        catalog.content_gbt(None, "")
+    assert used == {"importance": (0.01, 3, 100, 0.5), "content": (0.1, 3, 100, 1.0)}

@@ -61,7 +61,7 @@ def model_catalog(spark, sf_dir):
     for item in ("series_id", "venue_zip"):
         rank = pairs.select(item).distinct().count()
         path = scratch_path(spark, f"als-{item}")
-        models.save_als_model(als.als_fit_implicit(pairs, item, rank=rank, max_iter=3), path)
+        models.save_als_model(als.als_fit_implicit(pairs, item, rank=rank), path)
         paths.append(path)
     pairs.unpersist()
     return models.model_catalog(spark, paths).select(
@@ -215,10 +215,8 @@ def gbt_predict_rank(spark, sf_dir):
 
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
-    """Importances of the final variant after its first twenty trees."""
-    rate, depth, _, subsample = fv.BOOSTING_VARIANTS[fv.BOOSTING_FINAL]
-    return ensemble.feature_importance(
-        ensemble.gbt_fit(trainval(spark, sf_dir), variant=(rate, depth, 20, subsample)))
+    """Importances of the final variant."""
+    return ensemble.feature_importance(ensemble.gbt_fit(trainval(spark, sf_dir)))
 
 
 @query("gbt_variants")
@@ -235,13 +233,13 @@ def gbt_variants(spark, sf_dir):
 
 @query("content_gbt")
 def content_gbt(spark, sf_dir):
-    """Content model of twenty trees with hybrid labels; scores of the validation rows."""
+    """Content model with hybrid labels; scores of the validation rows."""
     grid, fitted = fitted_series(spark, sf_dir)
     people = cut_lineage(users(spark, sf_dir))
     cells = als.als_predict(grid, fitted)
     train = cells.filter("split = 'train'")
     model = ensemble.content_gbt(
-        ensemble.content_rows(train.drop("prediction"), people, train), (0.1, 3, 20, 1.0))
+        ensemble.content_rows(train.drop("prediction"), people, train))
     validate = ensemble.content_rows(cells.filter("split = 'validate'").drop("prediction"), people)
     return ensemble.content_predict(model, validate).select(
         "person_id", "event_id", "y_label", "prediction")

@@ -3,9 +3,9 @@
 The entropy method looks at runs of token characters. A window slides over a
 run; the counts of its characters change by the one that enters and the one
 that leaves, and with them the sum of c*log2(c), kept in whole millionths so
-that nothing drifts. Windows of hexadecimal runs and of mixed runs have their
-own length and threshold. Runs on the allow list are passed over. Redaction
-has wider classes and a stricter allow list than the query.
+that nothing drifts. Windows of hexadecimal runs, of runs with digits and of
+letters alone have their own length and threshold. Runs that consist of allowed
+pieces are passed over. The query and redaction go by the same rules.
 """
 
 from __future__ import annotations
@@ -27,9 +27,9 @@ HEX = "[0-9a-f]+"
 #: What stands before group 2 in a match of ASSIGN.
 ASSIGN_HEAD = ("^(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]"
                "|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])[\"']?\\x20*[:=]\\x20*[\"']?")
-#: Runs that are no secrets: words in letters only, digits only, one repeated block, documented examples.
-ALLOW = ("^[A-Za-z/_=-]+$", "^[0-9/_=+-]+$", "EXAMPLE|example|xxxx|XXXX|0123456789|abcdefgh",
-         "^[0-9]{4}-[0-9]{2}-[0-9]{2}")
+#: Runs that are no secrets: digits only, and documented examples that make up the whole run.
+ALLOW = ("^[0-9/_=+-]+$", "^(?:EXAMPLE|example|xxxx|XXXX|0123456789|abcdefghijklmnopqrstuvwxyz|abcdefgh"
+         "|ABCDEFGHIJKLMNOPQRSTUVWXYZ|[/_=+-])+$")
 
 
 @dataclass(frozen=True)
@@ -46,14 +46,9 @@ class CharacterClass:
     shrinks: bool = False
 
 
-CLASSES = (CharacterClass("^[0-9a-fA-F]+$", 24, 3.05), CharacterClass("[0-9]", 20, 3.55))
 LEAST_RUN = 20
-#: What redaction goes by: allowed pieces must make up the whole run, letters alone can be a secret,
-#: and hexadecimal runs of any length have a window. The query's SQL has the narrower rules above.
-REDACT_ALLOW = ("^[0-9/_=+-]+$", "^(?:EXAMPLE|example|xxxx|XXXX|0123456789|abcdefghijklmnopqrstuvwxyz|abcdefgh"
-                "|ABCDEFGHIJKLMNOPQRSTUVWXYZ|[/_=+-])+$")
-REDACT_CLASSES = (CharacterClass("^[0-9a-fA-F]+$", 24, 3.05, shrinks=True), CharacterClass("[0-9]", 20, 3.55),
-                  CharacterClass("[A-Za-z]", 20, 3.6))
+CLASSES = (CharacterClass("^[0-9a-fA-F]+$", 24, 3.05, shrinks=True), CharacterClass("[0-9]", 20, 3.55),
+           CharacterClass("[A-Za-z]", 20, 3.6))
 RUN = f"[A-Za-z0-9+/_=-]{{{LEAST_RUN},}}"
 
 
@@ -96,43 +91,61 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(assign, access, hexed))
 
 
-def _part(count: Column) -> Column:
-    """c*log2(c) in millionths."""
-    return F.when(count > 1, F.round(count * F.log2(count.cast("double")) * 1e6)).otherwise(0).cast("long")
-
-
 def most_sum(window: int, bits: float) -> int:
     """Sum of c*log2(c), in millionths, up to which a window has at least ``bits``."""
     return int((math.log2(window) - bits) * window * 1e6)
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def window_range(run: Column, window: Column, least_sum: Column) -> Column:
-    """(first, last, n): offsets of the first and last window with a sum of at most ``least_sum``, and how many."""
-    slots = 128
-    code = lambda i: F.ascii(F.substring(run, i, 1))
+    """(first, last, n): offsets of the first and last window with a sum of at most ``least_sum``, and how many.
+
+    A step counts, in the window before it, the character that leaves and the one
+    that comes, so it costs a window's length and the whole is linear in the run's.
+    """
+    most = max(c.window for c in CLASSES)
+    # c*log2(c) in millionths, by c
+    parts = F.array(*[F.lit(round(c * math.log2(c) * 1e6) if c > 1 else 0).cast("long") for c in range(most + 2)])
     blank = F.struct(
-        F.array_repeat(F.lit(0), slots).alias("counts"), F.lit(0).cast("long").alias("total"),
-        F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"), F.lit(0).alias("n"))
-
-    def step(acc: Column, i: Column) -> Column:
-        comes, goes = code(i), F.when(i > window, code(i - window)).otherwise(F.lit(-1))
-        was_in = F.get(acc["counts"], comes)
-        was_out = F.coalesce(F.get(acc["counts"], goes), F.lit(0))
-        same = comes == goes
-        total = F.when(same, acc["total"]).otherwise(
-            acc["total"] + _part(was_in + 1) - _part(was_in)
-            + F.when(goes >= 0, _part(was_out - 1) - _part(was_out)).otherwise(0))
-        counts = F.when(same, acc["counts"]).otherwise(F.transform(
-            acc["counts"], lambda c, j: c + (j == comes).cast("int") - (j == goes).cast("int")))
-        high = (i >= window) & (total <= least_sum)
-        return F.struct(
-            counts.alias("counts"), total.cast("long").alias("total"),
-            F.when(high & acc["first"].isNull(), i - window).otherwise(acc["first"]).alias("first"),
-            F.when(high, i - window).otherwise(acc["last"]).alias("last"),
-            (acc["n"] + high.cast("int")).alias("n"))
-
-    return F.aggregate(F.sequence(F.lit(1), F.length(run)), blank, step,
-                       lambda acc: F.struct(acc["first"], acc["last"], acc["n"]))
+        F.lit(0).cast("long").alias("total"), F.lit(None).cast("int").alias("first"),
+        F.lit(None).cast("int").alias("last"), F.lit(0).alias("n"))
+
+    def walk(codes: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            before = F.slice(codes, F.greatest(i - window, F.lit(1)), F.least(i - 1, window))
+            comes, goes = F.get(codes, i - 1), F.when(i > window, F.get(codes, i - window - 1)).otherwise(F.lit(-1))
+
+            def changed(now: Column) -> Column:
+                n_in, n_out = now["n_in"], now["n_out"]
+                return F.when(now["comes"] == now["goes"], acc["total"]).otherwise(
+                    acc["total"] + F.get(parts, n_in + 1) - F.get(parts, n_in)
+                    + F.when(n_out > 0, F.get(parts, n_out - 1) - F.get(parts, n_out)).otherwise(F.lit(0).cast("long")))
+
+            def counted(now: Column) -> Column:
+                return F.struct(
+                    now["comes"].alias("comes"), now["goes"].alias("goes"),
+                    F.size(F.filter(now["before"], lambda c: c == now["comes"])).alias("n_in"),
+                    F.size(F.filter(now["before"], lambda c: c == now["goes"])).alias("n_out"))
+
+            def moved(total: Column) -> Column:
+                high = (i >= window) & (total <= least_sum)
+                return F.struct(
+                    total.alias("total"),
+                    F.when(high & acc["first"].isNull(), i - window).otherwise(acc["first"]).alias("first"),
+                    F.when(high, i - window).otherwise(acc["last"]).alias("last"),
+                    (acc["n"] + high.cast("int")).alias("n"))
+
+            here = F.struct(before.alias("before"), comes.alias("comes"), goes.alias("goes"))
+            return _bound(_bound(_bound(here, counted), changed), moved)
+
+        return F.aggregate(F.sequence(F.lit(1), F.size(codes)), blank, step,
+                           lambda acc: F.struct(acc["first"], acc["last"], acc["n"]))
+
+    return _bound(F.transform(F.split(run, ""), lambda c: F.ascii(c)), walk)
 
 
 def entropy_spans(text: Column, classes=CLASSES, allow=ALLOW) -> Column:
@@ -202,7 +215,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """
     spans = F.array_sort(F.concat(
         F.transform(base_spans(text_of()), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))),
-        F.transform(entropy_spans(text_of(), REDACT_CLASSES, REDACT_ALLOW), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))))
+        F.transform(entropy_spans(text_of()), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))))
     joined = F.aggregate(spans, F.array().cast("array<struct<start:int,end:int>>"), lambda acc, s: F.when(
         (F.size(acc) > 0) & (F.get(acc, F.size(acc) - 1)["end"] >= s["start"]),
         F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(
@@ -242,13 +255,16 @@ def _sql() -> str:
              ("entropy", RUN, 3)]
     parts = ",".join(_KIND.format(kind=k, pattern=quoted(p), ord=o) for k, p, o in kinds)
     allowed = " AND ".join(f"NOT regexp_matches(m, '{quoted(a)}')" for a in ALLOW)
-    hexed, mixed = CLASSES
+    hexed, mixed, letters = CLASSES
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),{parts},
 runs AS (
-  SELECT *, CASE WHEN regexp_matches(m, '{hexed.pattern}') THEN {hexed.window}
-                 WHEN regexp_matches(m, '{mixed.pattern}') THEN {mixed.window} END AS w,
-         CASE WHEN regexp_matches(m, '{hexed.pattern}') THEN {hexed.bits} ELSE {mixed.bits} END AS bits
+  SELECT *, CASE WHEN regexp_matches(m, '{hexed.pattern}') THEN least({hexed.window}, length(m))
+                 WHEN regexp_matches(m, '{mixed.pattern}') THEN {mixed.window}
+                 WHEN regexp_matches(m, '{letters.pattern}') THEN {letters.window} END AS w,
+         CASE WHEN regexp_matches(m, '{hexed.pattern}')
+                THEN {hexed.bits} * log2(least({hexed.window}, length(m))) / log2({hexed.window})
+              WHEN regexp_matches(m, '{mixed.pattern}') THEN {mixed.bits} ELSE {letters.bits} END AS bits
   FROM entropy_s WHERE {allowed}),
 windows AS (
   SELECT doc_id, s, m, w, bits, unnest(generate_series(0, length(m) - w)) AS o FROM runs WHERE w <= length(m)),

@@ -15,7 +15,7 @@ from turnout.catalog.registry import query
 from turnout.operators import als, ensemble, tuning
 from turnout.operators.attendance import event_attributes
 from turnout.operators.grid import Grid, make_grid, positives_only
-from turnout.operators.split import split_cells, split_grid, standard_cuts
+from turnout.operators.split import split_grid, standard_cuts
 from turnout.plans import recommendation as plan
 from turnout.session import cut_lineage, scratch_path
 from turnout.sources import models, tables
@@ -123,6 +123,26 @@ def als_predict_counts(spark, sf_dir):
     return als.prediction_counts(als.als_predict(grid, fitted, drop_cold=False))
 
 
+WIDE = 1 << 40
+
+
+@query("als_predict_counts_wide_ids", f"""WITH {v.SPLIT_G},
+kn AS (SELECT DISTINCT event_id FROM gs WHERE split = 'train')
+SELECT split, count(*) FILTER (WHERE event_id IN (SELECT event_id FROM kn)) AS valid,
+  count(*) FILTER (WHERE event_id NOT IN (SELECT event_id FROM kn)) AS missing,
+  count(DISTINCT person_id) AS people, max(person_id) + {WIDE} AS largest_id FROM gs GROUP BY split""")
+def als_predict_counts_wide_ids(spark, sf_dir):
+    """Valid and cold predictions of the event recommender where no id fits 32 bits."""
+    parts = v.participations(spark, sf_dir).withColumns(
+        {c: F.col(c) + F.lit(WIDE) for c in ("person_id", "event_id")})
+    grid = split_grid(make_grid(parts), CUTS)
+    fitted = als.fit_recommender(grid, "event_id", CUTS, rank=5, alpha=80.0)
+    scored = als.als_predict(grid, fitted, drop_cold=False)
+    counts = als.prediction_counts(scored)
+    people = scored.groupBy("split").agg(F.count_distinct("person_id").alias("people"), F.max("person_id").alias("largest_id"))
+    return counts.join(people, "split")
+
+
 @query("als_rank")
 def als_rank(spark, sf_dir):
     grid, fitted = fitted_series(spark, sf_dir)
@@ -145,39 +165,24 @@ def grid_search_rank(spark, sf_dir):
     return tuning.grid_search_rank(split_participations(spark, sf_dir), "series_id", CUTS)
 
 
-SMALL_SPACE = {"ranks": (5,), "max_iters": (5,), "regs": (0.1, 0.01), "alphas": (1.0, 20.0)}
-
-
-def tuning_rows(spark, sf_dir):
-    cells = split_cells(make_grid(v.participations(spark, sf_dir)))
-    return cells.filter("split = 'train'").persist()
-
-
 @query("als_cross_validate")
 def als_cross_validate(spark, sf_dir):
-    rows = tuning_rows(spark, sf_dir)
-    model = tuning.als_cross_validate(rows, "series_id", **SMALL_SPACE)
-    rows.unpersist()
-    return tuning.tuning_trace(model)
+    """All 36 settings, three folds, error over all cells of the training split."""
+    return tuning.tune_recommender(split_participations(spark, sf_dir), "series_id", CUTS, folds=3)
 
 
 @query("als_train_validation")
 def als_train_validation(spark, sf_dir):
-    rows = tuning_rows(spark, sf_dir)
-    model = tuning.als_train_validation(rows, "series_id", train_on_ones=True, **SMALL_SPACE)
-    rows.unpersist()
-    return tuning.tuning_trace(model)
+    """All 36 settings, one fold of four held, error over its attended cells."""
+    return tuning.tune_recommender(split_participations(spark, sf_dir), "series_id", CUTS, folds=4, held=(0,),
+                                   score=tuning.rmse_of_attended)
 
 
 @query("tuning_trace")
 def tuning_trace(spark, sf_dir):
-    from turnout.operators.evaluate import RankBarEvaluator
-
-    rows = tuning_rows(spark, sf_dir)
-    model = tuning.als_train_validation(
-        rows, "series_id", scoring=RankBarEvaluator(), **SMALL_SPACE)
-    rows.unpersist()
-    return tuning.tuning_trace(model)
+    """All 36 settings, one fold of four held, rank over all its cells."""
+    return tuning.tune_recommender(split_participations(spark, sf_dir), "series_id", CUTS, folds=4, held=(0,),
+                                   score=tuning.rank_of_all)
 
 
 # -- boosted ensembles -----------------------------------------------------
@@ -221,14 +226,11 @@ def feature_importance(spark, sf_dir):
 
 @query("gbt_variants")
 def gbt_variants(spark, sf_dir):
-    """Learning rates and subsamples of three variants, ten trees each to keep the comparison short."""
+    """Ledger of all eight parameter sets with their whole numbers of trees."""
     train, validate = plan.train_validate(scored_cells(spark, sf_dir))
-    chosen = {}
-    for name in ("base", "v5", "v7"):
-        rate, depth, _, subsample = fv.BOOSTING_VARIANTS[name]
-        chosen[name] = (rate, depth, 10, subsample)
-    ledger, best, _ = ensemble.gbt_variants(train, validate, chosen)
-    return ledger.withColumn("chosen", F.col("gb_model") == best)
+    paths = [tables.snapshot(rows, scratch_path(spark, "boosting")) for rows in (train, validate)]
+    ledger = ensemble.compare_variants(*paths)
+    return ledger.withColumn("chosen", F.col("gb_model") == ensemble.best_variant(ledger))
 
 
 @query("content_gbt")

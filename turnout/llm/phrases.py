@@ -15,17 +15,18 @@ grouped and counted exactly for those hashes that pass.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from turnout.llm.common import stored, table, text_of
 from turnout.llm.registry import query
-from turnout.llm.words import mix
+from turnout.llm.words import _powers, mix
 
 WORDS = 3
 LEAST = 10
@@ -37,8 +38,9 @@ BITMAP_BITS = 28
 BUCKET = 32768
 #: Bytes of text and words of chunks that are worked on at a time, hashes that are condensed at a time.
 WINDOW = 1 << 20
-TOKENS = 1 << 18
+TOKENS = 1 << 19
 HELD = 1 << 21
+HELD_CHUNKS = 1 << 16
 PERCENT = 50
 MOST = 2000
 MILLION = 1_000_000
@@ -48,50 +50,65 @@ FOLDED = bytes(ord("\n") if chr(b) in ".,;:!?\n\v\f\r" else ord(" ") if b == 9 e
                for b in range(256))
 
 
-def windows(text: bytes) -> Iterator[bytes]:
-    """A folded text in parts of whole pieces, of about ``WINDOW`` bytes each."""
-    start = 0
-    while start < len(text):
-        end = text.find(b"\n", start + WINDOW)
-        end = len(text) if end < 0 else end
-        yield text[start:end]
-        start = end + 1
-
-
-def word_ids(words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
-    """Numbers of words, and the distinct words by number."""
-    known: dict[bytes, int] = {}
-    ids = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
-    return ids, list(known)
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-
+def windows(text: bytes) -> Iterator[tuple[bytes, bool]]:
+    """(part, whether its last piece goes on) of a folded text, parts of about ``WINDOW`` bytes.
 
-def chunks_of(text: bytes) -> Iterator[tuple[bytes, int, bool]]:
-    """(words joined by blanks, number of words, ends its piece) of all chunks of a folded text, in order."""
-    for part in windows(text):
-        pieces = [p for p in (piece.split() for piece in part.split(b"\n")) if p]
-        if not pieces:
+    Parts end with a piece. A piece that is longer than a part is cut at a blank; its last
+    two words are the first of the next part, as with any chunk.
+    """
+    start, held = 0, b""
+    while start < len(text):
+        line = text.find(b"\n", start + WINDOW)
+        end = len(text) if line < 0 else line
+        blank = text.find(b" ", start + WINDOW, end) if end - start > 2 * WINDOW else -1
+        part = held + text[start:end if blank < 0 else blank]
+        yield part, blank >= 0
+        held = b""
+        if blank >= 0:
+            held = b" ".join(part[part.rfind(b"\n") + 1:].split()[1 - WORDS:]) + b" "
+        start = (end if blank < 0 else blank) + 1
+
+
+def span_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words, from running sums of their bytes."""
+    power, inverse = _powers(1 << max(16, int(len(buffer) + 1).bit_length()))
+    sums = np.zeros(len(buffer) + 1, np.uint64)
+    np.cumsum((buffer.astype(np.uint64) + np.uint64(1)) * power[:len(buffer)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
+def chunks_of(text: bytes) -> Iterator[tuple[list[bytes], bool]]:
+    """Lists of chunks (words joined by blanks) of a folded text, and whether these end their pieces."""
+    for part, goes_on in windows(text):
+        buffer = np.frombuffer(part, np.uint8)
+        line = buffer == 10
+        gap = np.concatenate([[True], line | (buffer == 32), [True]])
+        edge = np.flatnonzero(gap[1:] != gap[:-1])
+        starts, ends = edge[0::2], edge[1::2]
+        if not len(starts):
             continue
-        words = [w for p in pieces for w in p]
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        last = np.cumsum(sizes)
-        first = last - sizes
-        ids, known = word_ids(words)
-        hashed = word_hashes(known)[ids]
-        at = np.arange(1, len(words))
+        hashed = span_hashes(buffer, starts, ends)
+        piece = np.cumsum(line)[starts]
+        last = np.flatnonzero(np.concatenate([piece[1:] != piece[:-1], [True]])) + 1
+        first = np.concatenate([[0], last[:-1]])
+        number = np.repeat(np.arange(len(last)), last - first)[1:]
+        at = np.arange(1, len(starts))
         hit = mix(hashed[:-1] * ODD[0] + hashed[1:] * ODD[1]) % np.uint64(TRIGGER) == 0
-        piece = np.repeat(np.arange(len(pieces)), sizes)[1:]
         # a chunk has more words than the overlap, and a piece's last word needs no trigger
-        cut = at[hit & (at >= first[piece] + 2) & (at < last[piece] - 1)]
-        ends = np.concatenate([cut + 1, last])
+        cut = at[hit & (at >= first[number] + 2) & (at < last[number] - 1)]
+        chunk_ends = np.concatenate([cut + 1, last])
         closes = np.concatenate([np.zeros(len(cut), bool), np.ones(len(last), bool)])
-        starts = np.concatenate([first, cut - 1])
-        order = np.argsort(ends, kind="stable")
-        for s, e, c in zip(np.sort(starts).tolist(), ends[order].tolist(), closes[order].tolist()):
-            yield b" ".join(words[s:e]), e - s, c
+        closes[-1] = not goes_on
+        order = np.argsort(chunk_ends, kind="stable")
+        chunk_starts, chunk_ends, closes = np.sort(np.concatenate([first, cut - 1])), chunk_ends[order], closes[order]
+        # single blanks between all words of a chunk: it is a slice of the text
+        begin, end = starts[chunk_starts], ends[chunk_ends - 1]
+        letters = np.concatenate([[0], np.cumsum(ends - starts)])
+        plain = letters[chunk_ends] - letters[chunk_starts] + chunk_ends - chunk_starts - 1 == end - begin
+        for some in (closes, ~closes):
+            yield [part[s:e] for s, e in zip(begin[some & plain].tolist(), end[some & plain].tolist())], bool(some is closes)
+            yield [b" ".join(part[s:e].split()) for s, e in zip(
+                begin[some & ~plain].tolist(), end[some & ~plain].tolist())], bool(some is closes)
 
 
 def dictionary(docs: DataFrame) -> DataFrame:
@@ -99,25 +116,27 @@ def dictionary(docs: DataFrame) -> DataFrame:
     names = ["lang", "chunk", "size", "closes", "times"]
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(seen: Counter) -> pa.RecordBatch:
+        def out(lang: str, closes: bool, seen: Counter) -> pa.RecordBatch:
+            n = len(seen)
             return pa.RecordBatch.from_arrays([
-                pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.binary()),
-                pa.array([k[2] for k in seen], pa.int32()), pa.array([k[3] for k in seen], pa.bool_()),
-                pa.array(list(seen.values()), pa.int64())], names)
+                pa.array([lang] * n, pa.string()), pa.array(seen, pa.binary(), size=n),
+                pa.array((c.count(b" ") + 1 for c in seen), pa.int32(), size=n),
+                pa.array([closes] * n, pa.bool_()), pa.array(seen.values(), pa.int64(), size=n)], names)
 
-        seen: Counter = Counter()
-        held = 0
+        seen: defaultdict[tuple[str, bool], Counter] = defaultdict(Counter)
         for batch in batches:
-            for i in range(batch.num_rows):
-                lang, text = batch.column(0)[i].as_py(), batch.column(1)[i].as_py().translate(FOLDED)
-                for chunk, size, closes in chunks_of(text):
-                    seen[lang, chunk, size, closes] += 1
-                    held += size
-                    if held > TOKENS:
-                        yield out(seen)
-                        seen.clear()
-                        held = 0
-        yield out(seen)
+            langs = batch.column(0).to_pylist()
+            texts: defaultdict[str, list[bytes]] = defaultdict(list)
+            for lang, text in zip(langs, batch.column(1).to_pylist()):
+                texts[lang].append(text)
+            for lang, some in texts.items():
+                for chunks, closes in chunks_of(b"\n".join(some).translate(FOLDED)):
+                    counted = seen[lang, closes]
+                    counted.update(chunks)
+                    if len(counted) >= HELD_CHUNKS:
+                        yield out(lang, closes, seen.pop((lang, closes)))
+        for (lang, closes), counted in seen.items():
+            yield out(lang, closes, counted)
 
     rows = docs.select(F.coalesce(docs["lang"].cast("string"), F.lit("und")).alias("lang"),
                        text_of().cast("binary").alias("text"))
@@ -126,26 +145,39 @@ def dictionary(docs: DataFrame) -> DataFrame:
 
 
 class Tokens:
-    """Words of some chunks of the dictionary, and the hashes of the phrases that begin at each."""
-
-    def __init__(self, langs: list[str], chunks: list[bytes], size: np.ndarray, closes: np.ndarray, times: np.ndarray):
-        words = b" ".join(chunks).split(b" ")
-        self.ids, self.known = word_ids(words)
-        start = np.cumsum(size) - size
-        place = np.arange(len(words)) - np.repeat(start, size)
+    """Words of some rows of the dictionary, and the hashes of the phrases that begin at each."""
+
+    def __init__(self, rows: pa.RecordBatch):
+        tongue = rows.column(0).dictionary_encode()
+        self.langs, self.lang = tongue.dictionary.to_pylist(), tongue.indices.to_numpy()
+        self.chunks, size, closes, self.times = rows.column(1), *(
+            rows.column(i).to_numpy(zero_copy_only=False) for i in (2, 3, 4))
+        size = size.astype(np.int64)
+        kind = np.int64 if pa.types.is_large_binary(self.chunks.type) else np.int32
+        offsets = np.frombuffer(self.chunks.buffers()[1], kind)[self.chunks.offset:][:len(self.chunks) + 1].astype(np.int64)
+        buffer = np.frombuffer(self.chunks.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+        offsets -= offsets[0]
+        # words end at blanks and at the ends of chunks
+        words, last = int(size.sum()), np.cumsum(size)
+        blank = np.flatnonzero(buffer == 32)
+        starts, ends = np.empty(words, np.int64), np.empty(words, np.int64)
+        inner = np.ones(words, bool)
+        inner[last - size] = False
+        starts[last - size], starts[inner] = offsets[:-1], blank + 1
+        inner = np.ones(words, bool)
+        inner[last - 1] = False
+        ends[last - 1], ends[inner] = offsets[1:], blank
         #: words up to the chunk's end, and whether a phrase that begins here is counted here
-        self.left = np.repeat(size, size) - place
+        self.left = np.repeat(last, size) - np.arange(words)
         self.own = np.repeat(closes, size) | (self.left > WORDS - 1)
-        self.chunk = np.repeat(np.arange(len(chunks)), size)
-        self.times = times
-        tongue = {lang: xxhash.xxh64_intdigest(lang) for lang in set(langs)}
-        self.base = np.fromiter((tongue[x] for x in langs), np.uint64, len(langs))[self.chunk] * ODD[WORDS]
-        self.hashed = word_hashes(self.known)[self.ids]
+        self.chunk = np.repeat(np.arange(len(size)), size)
+        self.base = np.fromiter(map(xxhash.xxh64_intdigest, self.langs), np.uint64, len(self.langs))[self.lang] * ODD[WORDS]
+        self.hashed = span_hashes(buffer, starts, ends)
 
     def phrases(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(first words, hashes) of all phrases of ``n`` words within chunks, overlaps included."""
         at = np.flatnonzero(self.left >= n)
-        sums = self.base[at].copy()
+        sums = self.base[self.chunk[at]]
         for j in range(n):
             sums += self.hashed[at + j] * ODD[j]
         return at, mix(sums + np.uint64(n)) >> np.uint64(64 - HASH_BITS)
@@ -156,7 +188,7 @@ class Tokens:
         keep = self.own[at]
         if n > 1:
             part, part_hashes = self.phrases(n - 1)
-            may = np.zeros(len(self.ids) + 1, bool)
+            may = np.zeros(len(self.left) + 1, bool)
             may[part] = holds(maps[n - 2], part_hashes)
             keep = keep & may[at] & may[at + 1]
         return at[keep], hashes[keep]
@@ -168,16 +200,19 @@ def holds(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def tokens_of(batch: pa.RecordBatch) -> Iterator[tuple[Tokens, list[str]]]:
-    """Bounded parts of a batch of the dictionary, with their languages."""
-    size = batch.column(2).to_numpy()
-    cut = np.searchsorted(np.cumsum(size), np.arange(TOKENS, int(size.sum()) + TOKENS, TOKENS), side="left") + 1
-    for a, b in zip([0, *cut.tolist()], cut.tolist()):
-        part = batch.slice(a, b - a)
-        if part.num_rows:
-            langs = part.column(0).to_pylist()
-            yield Tokens(langs, part.column(1).to_pylist(), part.column(2).to_numpy().astype(np.int64),
-                         part.column(3).to_numpy(zero_copy_only=False), part.column(4).to_numpy()), langs
+def tokens_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Tokens]:
+    """Rows of the dictionary in parts of about ``TOKENS`` words."""
+    held: list[pa.RecordBatch] = []
+    words = 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            words += pc.sum(batch.column(2)).as_py()
+        if words >= TOKENS:
+            yield Tokens(pa.concat_batches(held))
+            held, words = [], 0
+    if held:
+        yield Tokens(pa.concat_batches(held))
 
 
 def frequent_hashes(chunks: DataFrame, n: int, least: int, maps) -> DataFrame:
@@ -196,11 +231,10 @@ def frequent_hashes(chunks: DataFrame, n: int, least: int, maps) -> DataFrame:
             hashes, times = condensed()
             return pa.RecordBatch.from_pydict({"hash": hashes.astype(np.int64), "times": times})
 
-        for batch in batches:
-            for tokens, _ in tokens_of(batch):
-                at, hashes = tokens.possible(n, maps.value)
-                if len(at):
-                    held.append((hashes, tokens.times[tokens.chunk[at]]))
+        for tokens in tokens_of(batches):
+            at, hashes = tokens.possible(n, maps.value)
+            if len(at):
+                held.append((hashes, tokens.times[tokens.chunk[at]]))
             if sum(len(x[0]) for x in held) > HELD:
                 yield out()
                 held = []
@@ -234,25 +268,29 @@ def frequent_phrases(chunks: DataFrame, least: int = LEAST) -> DataFrame:
     names = ["lang", "phrase", "words", "times"]
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for tokens, langs in tokens_of(batch):
-                tongues, tongue = np.unique(np.array(langs, dtype=object), return_inverse=True)
-                spoken = tongue[tokens.chunk]
-                for n in range(1, WORDS + 1):
-                    at, hashes = tokens.possible(n, known.value)
-                    at = at[holds(known.value[n - 1], hashes)]
-                    if not len(at):
-                        continue
-                    keys = np.stack([spoken[at], *(tokens.ids[at + j] for j in range(n))])
-                    order = np.lexsort(keys)
-                    keys = keys[:, order]
-                    first = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)]))
-                    times = np.add.reduceat(tokens.times[tokens.chunk[at]][order], first)
-                    word = tokens.known
-                    phrases = [b" ".join([word[i] for i in key]) for key in keys[1:, first].T.tolist()]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(tongues[keys[0, first]].tolist(), pa.string()), pa.array(phrases, pa.binary()),
-                        pa.array(np.full(len(first), n, np.int32)), pa.array(times)], names)
+        for tokens in tokens_of(batches):
+            # numbers of words, languages and word sequences stand for them exactly
+            known_words: dict[bytes, int] = {}
+            words = b" ".join(tokens.chunks.to_pylist()).split(b" ")
+            ids = np.fromiter((known_words.setdefault(w, len(known_words)) for w in words), np.int64, len(words))
+            word, many = list(known_words), len(known_words)
+            for n in range(1, WORDS + 1):
+                at, hashes = tokens.possible(n, known.value)
+                at = at[holds(known.value[n - 1], hashes)]
+                if not len(at):
+                    continue
+                keys = tokens.lang[tokens.chunk[at]].astype(np.int64)
+                for j in range(n):
+                    keys = np.unique(keys, return_inverse=True)[1] * many + ids[at + j]
+                order = np.argsort(keys)
+                first = np.flatnonzero(np.concatenate([[True], np.diff(keys[order]) != 0]))
+                times = np.add.reduceat(tokens.times[tokens.chunk[at]][order], first)
+                at = at[order[first]]
+                parts = [[word[i] for i in ids[at + j].tolist()] for j in range(n)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(tokens.langs, pa.string()).take(pa.array(tokens.lang[tokens.chunk[at]])),
+                    pa.array(map(b" ".join, zip(*parts)), pa.binary()),
+                    pa.array(np.full(len(at), n, np.int32)), pa.array(times)], names)
 
     return chunks.mapInArrow(spell, "lang string, phrase binary, words int, times long").groupBy(
         "lang", "phrase", "words").agg(F.sum("times").alias("times")).where(F.col("times") >= least).select(

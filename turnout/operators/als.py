@@ -18,6 +18,7 @@ from turnout import fixed_values as fv
 from turnout.functions.scores import dot
 from turnout.operators.evaluate import popularity_rank_bar, rank_bar
 from turnout.operators.grid import GRID_COLUMNS, Grid, join_events, pair_up
+from turnout.operators.position import dense_codes
 from turnout.operators.split import (
     Cuts, bound_columns, split_label, split_range)
 from turnout.session import cut_lineage
@@ -25,11 +26,58 @@ from turnout.session import cut_lineage
 SEED = 20
 
 
+@dataclass(frozen=True)
+class Folds:
+    """Cells dealt to ``k`` folds: a cell's fold is the sum of its person's and its event's class.
+
+    Every cell is in one fold, every person and every event has cells in all of them, and a
+    fold is a union of ``k`` blocks of people times events, so that sums over it need no cells.
+    """
+
+    k: int
+    seed: int = SEED
+
+    def of(self, column: str) -> Column:
+        """Class of a person or an event."""
+        return F.pmod(F.xxhash64(F.lit(column), F.lit(self.seed), F.col(column).cast("long")), F.lit(self.k))
+
+    def cell(self) -> Column:
+        return F.pmod(self.of("person_id") + self.of("event_id"), F.lit(self.k))
+
+
+@dataclass(frozen=True)
+class CodedModel:
+    """A model fitted on dense codes, and the dictionaries (id, code) of its people and items.
+
+    Spark ML takes ids of 32 bits; the factors here carry the ids as they were.
+    """
+
+    model: ALSModel
+    people: DataFrame
+    items: DataFrame
+
+    @property
+    def rank(self) -> int:
+        return self.model.rank
+
+    @property
+    def userFactors(self) -> DataFrame:
+        return _decoded(self.model.userFactors, self.people)
+
+    @property
+    def itemFactors(self) -> DataFrame:
+        return _decoded(self.model.itemFactors, self.items)
+
+
+def _decoded(factors: DataFrame, codes: DataFrame) -> DataFrame:
+    return factors.withColumnRenamed("id", "code").join(codes, "code").select("id", "features")
+
+
 @dataclass(frozen=True)
 class Recommender:
     """A fitted model, the grid column it takes as item, and the split it was trained on."""
 
-    model: ALSModel
+    model: ALSModel | CodedModel
     item: str
     cuts: Cuts
     first: str = "train"
@@ -47,36 +95,51 @@ def _int32(column: str) -> Column:
         F.raise_error(F.lit(f"{column} does not fit 32 bits"))).cast("int")
 
 
+def _beyond_32_bits(rows: DataFrame, *columns: str) -> bool:
+    outside = [~F.col(c).between(-2**31, 2**31 - 1) for c in columns]
+    return any(rows.agg(*[F.coalesce(F.bool_or(x), F.lit(False)) for x in outside]).first())
+
+
 def als_fit(rows: DataFrame, item: str, rank: int = 100, max_iter: int = 10, reg: float = 0.1,
             alpha: float = 1.0, implicit: bool = True, nonnegative: bool = True,
             seed: int = SEED, person: str = "person_id", rating: str = "participated",
             dedupe: str | None = None, person_blocks: int | None = None,
-            item_blocks: int | None = None) -> ALSModel:
+            item_blocks: int | None = None) -> ALSModel | CodedModel:
     """Fit one model. Several events with the same item value are separate observations;
     ``dedupe='sum'`` adds them up instead.
 
     People are laid out in as many blocks as the cluster has cores, since a block has to
-    fit a task's memory. Items are few; they get at most ten blocks. Ids have to fit
-    32 bits, which Spark ML asks for; larger ones are an error, not a wrong result.
+    fit a task's memory. Items are few; they get at most ten blocks. Spark ML asks for
+    ids of 32 bits. Where an id is larger, people and items are fitted by dense codes,
+    and the factors of the ``CodedModel`` carry the ids again; that takes up to 2^31
+    distinct people and as many items.
     """
     person_blocks = person_blocks or rows.sparkSession.sparkContext.defaultParallelism
     item_blocks = item_blocks or min(person_blocks, 10)
-    ready = rows.select(_int32(person).alias(person), _int32(item).alias(item),
-                        F.col(rating).cast("float").alias(rating))
+    ready = rows.select(person, item, F.col(rating).cast("float").alias(rating))
+    people = items = None
+    if _beyond_32_bits(ready, person, item):
+        people, items = dense_codes(ready, person), dense_codes(ready, item)
+        ready = (
+            ready.join(people.select(F.col("id").alias(person), F.col("code").alias("_person")), person)
+            .join(items.select(F.col("id").alias(item), F.col("code").alias("_item")), item)
+            .select(F.col("_person").alias(person), F.col("_item").alias(item), rating))
+    ready = ready.withColumns({person: _int32(person), item: _int32(item)})
     if dedupe == "sum":
         ready = ready.groupBy(person, item).agg(F.sum(rating).cast("float").alias(rating))
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, userCol=person, itemCol=item,
               ratingCol=rating, nonnegative=nonnegative, implicitPrefs=implicit, alpha=alpha,
               coldStartStrategy="drop", seed=seed, numUserBlocks=person_blocks,
               numItemBlocks=item_blocks)
-    return als.fit(ready)
+    model = als.fit(ready)
+    return CodedModel(model, people, items) if people is not None else model
 
 
-def als_fit_implicit(rows: DataFrame, item: str, **params) -> ALSModel:
+def als_fit_implicit(rows: DataFrame, item: str, **params) -> ALSModel | CodedModel:
     return als_fit(rows.filter("participated > 0"), item, implicit=True, **params)
 
 
-def als_fit_explicit(rows: DataFrame, item: str, **params) -> ALSModel:
+def als_fit_explicit(rows: DataFrame, item: str, **params) -> ALSModel | CodedModel:
     """Baseline that takes attendance as a rating; sees attended pairs only."""
     return als_fit(rows.filter("participated > 0"), item, implicit=False, **params)
 
@@ -95,7 +158,7 @@ def fit_recommender(grid: Grid, item: str, cuts: Cuts, first: str = "train",
     return Recommender(als_fit_implicit(rows, item, **params), item, cuts, first, train_on)
 
 
-def _user_factors(model: ALSModel, name: str) -> DataFrame:
+def _user_factors(model: ALSModel | CodedModel, name: str) -> DataFrame:
     return model.userFactors.select(
         F.col("id").cast("long").alias("person_id"), F.col("features").alias(name))
 
@@ -152,16 +215,23 @@ def prediction_counts(scored: DataFrame, prediction: str = "prediction") -> Data
         F.count_if(~missing).alias("valid"), F.count_if(missing).alias("missing"))
 
 
-def item_scores(grid: Grid, fitted: Recommender, split: str) -> DataFrame:
+def item_scores(grid: Grid, fitted: Recommender, split: str, folds: Folds | None = None,
+                fold: int | None = None) -> DataFrame:
     """person_id, item, participated, prediction for one split, a row per person and item.
 
     All events with the same item value have the same score, so people x items is
     enough for ``rank_bar``; ``participated`` counts the attended events. An item
     belongs to a person's rows if one of its events lies in the split for that
-    person, which the ranges say for events on a boundary.
+    person, which the ranges say for events on a boundary, and in ``fold``, if given.
     """
     low, high = split_range(fitted.cuts, split, fitted.first)
     attended = attended_cells(grid, fitted.cuts, fitted.first).filter(F.col("split") == split)
+    wanted = F.lit(0).cast("long")  # class of the events a person meets
+    event_class = F.lit(0).cast("long")
+    if folds:
+        attended = attended.filter(folds.cell() == fold)
+        wanted = F.pmod(F.lit(fold) - folds.of("person_id"), F.lit(folds.k))
+        event_class = folds.of("event_id")
     counts = (
         attended.groupBy("person_id", fitted.item).agg(F.count(F.lit(1)).alias("n"))
         .groupBy("person_id")
@@ -172,11 +242,11 @@ def item_scores(grid: Grid, fitted: Recommender, split: str) -> DataFrame:
         .join(_user_factors(fitted.model, "_user"), "person_id", "left")
     )
     items = cut_lineage(
-        grid.events.withColumns({"_low": low, "_high": high}).filter("_low < _high")
-        .groupBy(fitted.item).agg(F.collect_set(F.struct("_low", "_high")).alias("_ranges"))
+        grid.events.withColumns({"_low": low, "_high": high, "_class": event_class}).filter("_low < _high")
+        .groupBy(fitted.item).agg(F.collect_set(F.struct("_low", "_high", "_class")).alias("_ranges"))
         .join(_item_table(grid.events, fitted, "_item"), fitted.item))
     here = F.exists("_ranges", lambda r: (F.col("person_id") > r["_low"])
-                    & (F.col("person_id") <= r["_high"]))
+                    & (F.col("person_id") <= r["_high"]) & (r["_class"] == wanted))
     return pair_up(people, items, items.count()).filter(here).select(
         "person_id", fitted.item,
         F.coalesce(F.col("_counts")[F.col(fitted.item)], F.lit(0)).alias("participated"),
@@ -209,7 +279,7 @@ def fit_five(grid: Grid, cuts: Cuts, first: str = "train", train_on: str = "trai
         rows.unpersist()
 
 
-def factor_exploration(model: ALSModel, side: str = "item", top: int = 3) -> DataFrame:
+def factor_exploration(model: ALSModel | CodedModel, side: str = "item", top: int = 3) -> DataFrame:
     """Per latent factor the ids that load on it most."""
     factors = model.itemFactors if side == "item" else model.userFactors
     loads = factors.select("id", F.posexplode("features").alias("factor", "loading"))

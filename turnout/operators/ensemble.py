@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from turnout import fixed_values as fv
@@ -129,25 +130,69 @@ def feature_importance(model: PipelineModel, columns: list[str] = PREDICTIONS) -
         [(c, float(v)) for c, v in zip(columns, values)], "feature string, importance double")
 
 
+def first_trees(model: PipelineModel, trees: int) -> PipelineModel:
+    """The same model stopped after ``trees`` trees.
+
+    Boosting adds one tree after the other and each tree's sample depends on the seed and
+    its number alone, so this is the model that a fit of fewer trees gives.
+    """
+    fitted = model.stages[-1]
+    gateway = SparkSession.active().sparkContext._gateway
+    spark_ml = gateway.jvm.org.apache.spark.ml.regression
+    kept = gateway.new_array(spark_ml.DecisionTreeRegressionModel, trees)
+    weights = gateway.new_array(gateway.jvm.double, trees)
+    every = fitted._java_obj.trees()
+    for i in range(trees):
+        kept[i], weights[i] = every[i], float(fitted.treeWeights[i])
+    made = GBTRegressionModel(spark_ml.GBTRegressionModel(fitted.uid, kept, weights, fitted.numFeatures))
+    made.setFeaturesCol(fitted.getFeaturesCol()).setPredictionCol(fitted.getPredictionCol())
+    return PipelineModel([*model.stages[:-1], made])
+
+
+def compare_variants(train: DataFrame, validate: DataFrame, variants: dict[str, tuple] = fv.BOOSTING_VARIANTS,
+                     columns: list[str] = PREDICTIONS, seed: int = SEED, parallelism: int = 4) -> DataFrame:
+    """Ledger of parameter sets with their validation ranks, in the order of ``variants``.
+
+    Sets that differ in the number of trees only come from one fit, each scored after its
+    own number. ``parallelism`` fits run at a time; only scores come to the driver.
+    """
+    fits: dict[tuple, list[str]] = {}
+    for name, (rate, depth, _, subsample) in variants.items():
+        fits.setdefault((rate, depth, subsample), []).append(name)
+
+    def one(fit: tuple) -> dict[str, tuple]:
+        rate, depth, subsample = fit
+        most = max(variants[name][2] for name in fits[fit])
+        model = gbt_fit(train, columns, variant=(rate, depth, most, subsample), seed=seed)
+        return {name: gbt_predict_rank(first_trees(model, variants[name][2]), validate).first() for name in fits[fit]}
+
+    # the longest fits first
+    order = sorted(fits, key=lambda f: -f[1] * max(variants[name][2] for name in fits[f]))
+    with ThreadPool(parallelism) as pool:
+        scores = {name: score for found in pool.map(one, order, chunksize=1) for name, score in found.items()}
+    rows = [(name, "val", float(rate), float(depth), float(trees), float(subsample),
+             scores[name]["rank_bar"], scores[name]["popularity_rank_bar"])
+            for name, (rate, depth, trees, subsample) in variants.items()]
+    return train.sparkSession.createDataFrame(rows, BOOSTING_LEDGER)
+
+
 def gbt_variants(train: DataFrame, validate: DataFrame, variants: dict[str, tuple] = fv.BOOSTING_VARIANTS,
                  columns: list[str] = PREDICTIONS, seed: int = SEED) -> tuple[DataFrame, str, PipelineModel]:
     """Compare parameter sets by validation rank and refit the best on all rows.
 
     Returns the ledger, the name of the best set and the refitted model.
     """
-    rows = []
-    for name, variant in variants.items():
-        model = gbt_fit(train, columns, variant=variant, seed=seed)
-        score = gbt_predict_rank(model, validate).first()
-        rate, depth, trees, subsample = variant
-        rows.append((name, "val", float(rate), float(depth), float(trees), float(subsample),
-                     score["rank_bar"], score["popularity_rank_bar"]))
-    best = min(rows, key=lambda r: (r[6], r[0]))[0]
-    ledger = train.sparkSession.createDataFrame(rows, BOOSTING_LEDGER)
+    ledger = compare_variants(train, validate, variants, columns, seed)
+    best = best_variant(ledger)
     final = gbt_fit(train.unionByName(validate), columns, variant=variants[best], seed=seed)
     return ledger, best, final
 
 
+def best_variant(ledger: DataFrame) -> str:
+    """The set of the smallest rank; ties go by name."""
+    return ledger.orderBy("model_rank", "gb_model").first()["gb_model"]
+
+
 # -- content model ---------------------------------------------------------
 
 CONTENT_CATEGORIES = ["series_id", "event_type_id", "venue_zip", "gender"]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from turnout.session import cut_lineage
+
 # ids are grouped in this many ranges before positions are looked up in one range
 ID_RANGES = 65_536
 
@@ -45,6 +47,24 @@ def running_position(df: DataFrame, coarse: str, fine: list[Column | str],
     return placed.withColumn("position", F.col("before") + 1).drop("before")
 
 
+def dense_codes(df: DataFrame, column: str) -> DataFrame:
+    """(id, code): every distinct value of a column and its number from 0, in order.
+
+    Values are dealt to ranges and stored with their range's number, so that the
+    numbers do not depend on how a lost task is run again; a value's code is the size
+    of all earlier ranges plus its place in its own. Nulls have no code.
+    """
+    ids = df.select(F.col(column).alias("id")).filter("id IS NOT NULL").distinct()
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut_lineage(ids.repartitionByRange(parts, "id").withColumn("_part", F.spark_partition_id()))
+    sizes = ranged.groupBy("_part").agg(F.count("id").alias("_n"))
+    earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    place = F.row_number().over(W.partitionBy("_part").orderBy("id"))
+    return cut_lineage(ranged.join(F.broadcast(offsets), "_part").select(
+        "id", (F.col("_offset") + place - 1).alias("code")))
+
+
 def nth_ids(members: DataFrame, wanted: DataFrame, group: str, id_col: str) -> DataFrame:
     """The id at which the running count of ``members`` reaches ``wanted.quota``.
 

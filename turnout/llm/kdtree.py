@@ -109,8 +109,10 @@ def _search(k: int):
         for at, query_id in enumerate(queries["vec_id"]):
             floor = -math.inf if floors is None or math.isnan(floors[at]) else floors[at]
             found = tree.search(int(query_id), vectors[at], bounds[at], k, floor)
-            out += [(int(query_id), -other, max(-2**63, min(2**63 - 1, score)))
-                    for score, other in found]
+            for score, other in found:
+                if not -2**63 <= score < 2**63:
+                    raise OverflowError(f"a score of {score} is beyond 64 bits")
+                out.append((int(query_id), -other, score))
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
     return run
 
@@ -121,18 +123,19 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int =
 
     ``vectors`` and ``queries`` have ``vec_id`` and ``embedding``; other columns
     are not read. Null ids, null vectors and vectors with a null or non-finite
-    component take no part; of rows repeating an id the smallest vector stays;
-    vectors only meet vectors of their own length. Ties go to the smaller id.
-    Returns query_id, rank, vec_id, score; an empty table gives no rows.
+    component take no part; vectors only meet vectors of their own length and other
+    ids. Rows repeating an id are candidates of their own; queries repeating an id
+    get the best of all their rows together. Ties go to the smaller id. A score
+    beyond 64 bits is an error. Returns query_id, rank, vec_id, score; an empty
+    table gives no rows.
 
     Every (shard, block of queries) pair is one group of at most about
     ``shard_rows + query_rows`` rows, so memory is bounded at any size.
     """
     def clean(df: DataFrame) -> DataFrame:
-        parts = df.select("vec_id", "embedding").where(
+        return df.select("vec_id", "embedding").where(
             "vec_id IS NOT NULL AND embedding IS NOT NULL AND forall(embedding, "
             "x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) <> double('infinity'))")
-        return parts.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
 
     points = clean(vectors).withColumn("size", F.size("embedding"))
     asked = clean(queries).withColumn("size", F.size("embedding"))

@@ -130,9 +130,10 @@ def _positives(count: int):
             for p, a, found in _scored(points, anchors):
                 for j in range(found.shape[1]):
                     row = anchors.iloc[a + j]
-                    other = np.flatnonzero(ids[p:p + CHUNK] != row["vec_id"])
-                    for at in other[_best(found[other, j], ids[p:p + CHUNK][other], count)]:
-                        out.append((row["vec_id"], row["copy"], ids[p + at], checked(found[at, j])))
+                    chunk_ids = ids[p:p + len(found)]
+                    other = np.flatnonzero(chunk_ids != row["vec_id"])
+                    for at in other[_best(found[other, j], chunk_ids[other], count)]:
+                        out.append((row["vec_id"], row["copy"], chunk_ids[at], checked(found[at, j])))
         return pd.DataFrame(out, columns=["anchor_id", "copy", "positive_id", "positive_score"], dtype="int64")
     return run
 
@@ -144,7 +145,7 @@ def _negatives(count: int, low: int, high: int):
             points, anchors = points.reset_index(drop=True), anchors.reset_index(drop=True)
             ids, labels = points["vec_id"].to_numpy(), points["label"].to_numpy()
             for p, a, found in _scored(points, anchors):
-                chunk_ids, chunk_labels = ids[p:p + CHUNK], labels[p:p + CHUNK]
+                chunk_ids, chunk_labels = ids[p:p + len(found)], labels[p:p + len(found)]
                 for j in range(found.shape[1]):
                     row = anchors.iloc[a + j]
                     other = np.flatnonzero((chunk_labels != row["label"]) & (chunk_ids != row["vec_id"]))

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from turnout.llm.common import stored, table
+from turnout.llm.common import table
 from turnout.llm.registry import query
 from turnout.session import scratch_path
 
@@ -118,11 +118,18 @@ def read_records(archive: Archive, spark: SparkSession) -> DataFrame:
     """Records as first written: parsed headers, payload, and the record's own bytes.
 
     A revisit's record holds its header block only; its payload still comes back.
+    Every record is rebuilt and compared to its header: the length of its block to
+    Content-Length, the SHA-1 of its payload to WARC-Payload-Digest. A difference
+    is an error.
     """
     rows = read_headers(archive, spark).join(verified_payloads(archive, spark), "digest")
     body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
-    return rows.withColumn("record", F.concat(
-        F.col("header").cast("binary"), body, F.lit(b"\r\n\r\n")))
+    rows = rows.withColumn("record", F.concat(F.col("header").cast("binary"), body, F.lit(b"\r\n\r\n")))
+    head = F.octet_length(F.substring_index("header", "\r\n\r\n", 1)) + 4
+    whole = F.octet_length("record") - head - 4 == _field("Content-Length").try_cast("long")
+    same = F.col("payload_digest") == F.col("payload_sha1")
+    return rows.withColumn("payload", F.when(whole & same, F.col("payload")).otherwise(
+        F.raise_error(F.concat(F.lit("damaged record of page "), F.coalesce(F.col("page_id").cast("string"), F.lit("none"))))))
 
 
 def export_warc(archive: Archive, spark: SparkSession, path: str) -> None:
@@ -149,8 +156,8 @@ FROM m
 
 @query("op3_warc", _SQL)
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages written as an archive and read back from its stored headers and payloads."""
+    """Pages written as an archive; every record is rebuilt from its stored header and payload."""
     archive = write_archive(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
-    bytes_read = stored(verified_payloads(archive, spark).drop("payload"), "warc-verified")
-    return read_headers(archive, spark).join(bytes_read, "digest").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return read_records(archive, spark).select(
+        "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha1("payload").alias("payload_digest"), "record_type", "refers_to")

@@ -17,7 +17,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from turnout.llm.common import stored, table, text_of
 from turnout.llm.registry import query
@@ -379,15 +379,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def single_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of every class the document with the smallest doc_id stays.
 
-    Rows without a doc_id stay. Of rows repeating a doc_id one stays.
+    Rows without a doc_id stay. Of rows that repeat a doc_id and a text one stays,
+    the same in every run; another text under the same doc_id stays too.
     """
-    kept = near_duplicates(docs).where("doc_id = class_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    columns = docs.columns
+    kept = near_duplicates(docs).where("doc_id = class_id").select("doc_id").distinct()
     # the ids kept grow with the documents: one plan for every size
-    one = docs.join(stored(kept, "kept").hint("merge"), docs["doc_id"] == F.col("kept_id"), "left_semi")
+    kept = stored(kept, "kept").withColumnRenamed("doc_id", "_kept").hint("merge")
+    one = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi")
     repeated = docs.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").limit(1).count()
-    one = one.dropDuplicates(["doc_id"]) if repeated else one
-    return one.unionByName(docs.where(docs["doc_id"].isNull())).select(*columns)
+    if repeated:
+        turn = Window.partitionBy("doc_id", "text").orderBy(F.xxhash64(*docs.columns))
+        one = one.select(F.struct(*docs.columns).alias("_row"), F.row_number().over(turn).alias("_turn")).where(
+            "_turn = 1").select("_row.*")
+    return one.unionByName(docs.where(docs["doc_id"].isNull()))
 
 
 @query("op9_neardup")

@@ -1,19 +1,20 @@
 """Recommenders, tuning, boosted ensembles and content model.
 
-Scores of fitted models are not expressible in SQL; where a query returns what
-must hold of any fit (ids, counts, flags), that has SQL.
+Scores of fitted models are not expressible in SQL. The queries return what must hold of
+any right fit and can be said in SQL: which people, items, cells and settings there are,
+that a person's factors are optimal for the model's items, which predictions exist, exact
+ranks of the popularity list next to a rank in its range.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from turnout import fixed_values as fv
 from turnout.catalog import views as v
 from turnout.catalog.joins import users
-from turnout.catalog.registry import query
-from turnout.operators import als, ensemble, tuning
-from turnout.operators.attendance import event_attributes
+from turnout.catalog.registry import query, six
+from turnout.operators import als, certify, ensemble, tuning
 from turnout.operators.grid import Grid, make_grid, positives_only
 from turnout.operators.split import split_grid, standard_cuts
 from turnout.plans import recommendation as plan
@@ -68,10 +69,19 @@ def model_catalog(spark, sf_dir):
         "item_col", "user_col", "cold_start", "prediction_col", "rank")
 
 
-@query("export_factors")
+@query("export_factors", f"""WITH {v.P}, f AS (SELECT CAST(unnest(range(5)) AS INT) AS factor)
+SELECT DISTINCT 'item' AS side, CAST(series_id AS BIGINT) AS id, factor, TRUE AS valid FROM p, f
+UNION ALL SELECT DISTINCT 'user', person_id, factor, TRUE FROM p, f""")
 def export_factors(spark, sf_dir):
-    factors = models.export_factors(series_model(spark, sf_dir))
-    return factors.select("side", "id", F.posexplode("features").alias("factor", "loading"))
+    """Every factor of the exported frame; valid if not negative and, for people, part of an optimum."""
+    pairs = positives_only(v.participations(spark, sf_dir))
+    model = series_model(spark, sf_dir)
+    optimal = certify.certified(certify.optimality(model, pairs, "series_id", alpha=80.0)).select("id", "optimal")
+    factors = models.export_factors(model).select(
+        "side", F.col("id").cast("long").alias("id"), F.posexplode("features").alias("factor", "loading"))
+    return factors.join(optimal, "id", "left").select(
+        "side", "id", "factor", ((F.col("loading") >= 0) & F.when(
+            F.col("side") == "user", F.coalesce("optimal", F.lit(False))).otherwise(F.lit(True))).alias("valid"))
 
 
 @query("export_factors_ids", f"""WITH {v.P}
@@ -84,31 +94,50 @@ def export_factors_ids(spark, sf_dir):
         F.forall("features", lambda x: x >= 0).alias("nonnegative"))
 
 
-@query("factor_exploration")
+@query("factor_exploration", f"""WITH {v.P}, n AS (SELECT least(3, count(DISTINCT series_id)) AS n FROM p)
+SELECT CAST(f.i AS INT) AS factor, CAST(k.i AS INT) AS place, TRUE AS in_order
+FROM (SELECT unnest(range(5)) AS i) f, (SELECT unnest(range(1, 4)) AS i) k, n WHERE k.i <= n""")
 def factor_exploration(spark, sf_dir):
-    return als.factor_exploration(series_model(spark, sf_dir))
+    """Places of the leading items per factor, and whether no later one loads more."""
+    top = als.factor_exploration(series_model(spark, sf_dir))
+    before = F.lag("loading").over(W.partitionBy("factor").orderBy("place"))
+    return top.select("factor", "place", F.coalesce(before >= F.col("loading"), F.lit(True)).alias("in_order"))
 
 
 # -- fits and predictions --------------------------------------------------
 
-@query("als_fit_implicit")
+_OPTIMA = f"WITH {v.P} SELECT DISTINCT person_id AS id, CAST(100 AS INT) AS n_factors, TRUE AS optimal FROM p"
+
+
+@query("als_fit_implicit", _OPTIMA)
 def als_fit_implicit(spark, sf_dir):
-    """User factors of the default fit on events; rank 100 as for the first baseline."""
+    """People of the default fit on events (rank 100 as for the first baseline) and whether their factors are optimal."""
     pairs = positives_only(v.participations(spark, sf_dir))
-    return als.als_fit_implicit(pairs, "event_id").userFactors
+    return certify.certified(certify.optimality(als.als_fit_implicit(pairs, "event_id"), pairs, "event_id"))
 
 
-@query("als_fit_explicit")
+@query("als_fit_explicit", _OPTIMA)
 def als_fit_explicit(spark, sf_dir):
     pairs = positives_only(v.participations(spark, sf_dir))
-    return als.als_fit_explicit(pairs, "event_id").itemFactors
+    model = als.als_fit_explicit(pairs, "event_id")
+    return certify.certified(certify.optimality(model, pairs, "event_id", implicit=False))
+
+
+def usable(prediction: str = "prediction"):
+    """Whether a prediction is a number."""
+    return F.col(prediction).isNotNull() & ~F.isnan(F.col(prediction).cast("double"))
+
 
+_SERIES_KNOWN = "series_id IN (SELECT series_id FROM gs WHERE split = 'train')"
 
-@query("als_predict")
+
+@query("als_predict", f"""WITH {v.SPLIT_G}
+SELECT person_id, event_id, participated, split, TRUE AS scored FROM gs WHERE {_SERIES_KNOWN}""")
 def als_predict(spark, sf_dir):
+    """Cells with a known item; scored if the prediction is a number and, as of a non-negative model, not negative."""
     grid, fitted = fitted_series(spark, sf_dir)
     return als.als_predict(grid, fitted).select(
-        "person_id", "event_id", "participated", "split", "prediction")
+        "person_id", "event_id", "participated", "split", (usable() & (F.col("prediction") >= 0)).alias("scored"))
 
 
 # items that no event of the training rows carries are cold
@@ -143,56 +172,110 @@ def als_predict_counts_wide_ids(spark, sf_dir):
     return counts.join(people, "split")
 
 
-@query("als_rank")
+def popularity_sql(cells: str, item: str) -> str:
+    """``rank_bar`` of recommending the most attended items of some cells to everybody."""
+    return f"""(SELECT round(sum(att * rank_ui) / sum(att), 6) FROM (
+  SELECT att, (row_number() OVER (ORDER BY att DESC, {item}) - 1) * 100.0 / count(*) OVER () AS rank_ui
+  FROM (SELECT {item}, sum(participated) AS att FROM {cells} GROUP BY 1 HAVING sum(participated) > 0)))"""
+
+
+def in_range(rank: str):
+    """Whether a rank is between the top and the bottom of a list."""
+    return F.col(rank).between(0, 100)
+
+
+@query("als_rank", f"""WITH {v.SPLIT_G}, t AS (SELECT * FROM gs WHERE split = 'test' AND {_SERIES_KNOWN})
+SELECT {popularity_sql('t', 'series_id')} AS popularity_rank_bar, TRUE AS ranked""")
 def als_rank(spark, sf_dir):
     grid, fitted = fitted_series(spark, sf_dir)
-    return als.rank_scores(grid, fitted, "test")
+    return als.rank_scores(grid, fitted, "test").select(
+        six("popularity_rank_bar").alias("popularity_rank_bar"), in_range("rank_bar").alias("ranked"))
 
 
-@query("als_multi_feature")
-def als_multi_feature(spark, sf_dir):
+# cells before and after the test cut of each series, and the former cut by date
+BY_SERIES = v.G + """,
+bs AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY event_date, event_id, person_id) AS pos,
+  count(*) OVER (PARTITION BY series_id) AS n FROM g),
+bt AS (SELECT *, CASE WHEN pos > round(n*0.8) THEN 'test' ELSE 'trainval' END AS split FROM bs),
+bo AS (SELECT *, row_number() OVER (ORDER BY event_date, event_id, person_id) AS pos2, count(*) OVER () AS n2
+  FROM bt WHERE split = 'trainval'),
+bv AS (SELECT * FROM bo WHERE pos2 > round(n2*0.8))"""
+
+
+def five_scored(spark, sf_dir):
     """The five recommenders with their final parameters, predictions side by side."""
     grid = split_grid(make_grid(v.participations(spark, sf_dir)), plan.TEST_CUT, "series_id")
     fitted = als.fit_five(grid, plan.TEST_CUT, "trainval", "trainval")
     return als.score_cells(grid, fitted, plan.TEST_CUT, "trainval").select(
-        "person_id", "event_id", "participated", "split", *fitted)
+        "person_id", "event_id", "participated", "event_date", "split", *fitted)
+
+
+_KNOWN = ", ".join(f"{item} IN (SELECT {item} FROM bt WHERE split = 'trainval') AS {item}_known"
+                   for item in fv.RECOMMENDER_RANKS)
+
+
+@query("als_multi_feature", f"WITH {BY_SERIES} SELECT person_id, event_id, participated, split, {_KNOWN} FROM bt")
+def als_multi_feature(spark, sf_dir):
+    """Cells with, per recommender, whether it gives a score: it does for items of its training rows."""
+    return five_scored(spark, sf_dir).select(
+        "person_id", "event_id", "participated", "split",
+        *[(usable(f"{item}_prediction") & (F.col(f"{item}_prediction") >= 0)).alias(f"{item}_known")
+          for item in fv.RECOMMENDER_RANKS])
 
 
 # -- tuning ----------------------------------------------------------------
 
-@query("grid_search_rank")
+def _rows(name: str, values) -> str:
+    return f"(VALUES {', '.join(f'({x})' for x in values)}) AS {name}_t({name})"
+
+
+@query("grid_search_rank", f"""WITH {v.SPLIT_G}, t AS (SELECT * FROM gs WHERE split = 'validate' AND {_SERIES_KNOWN})
+SELECT 'series_id' AS als_model, CAST(alpha AS DOUBLE) AS alpha, CAST(factors AS INT) AS factors,
+  {popularity_sql('t', 'series_id')} AS popular_rank, TRUE AS ranked
+FROM {_rows('alpha', fv.SEARCH_ALPHAS)}, {_rows('factors', fv.SEARCH_RANKS)}""")
 def grid_search_rank(spark, sf_dir):
-    return tuning.grid_search_rank(split_participations(spark, sf_dir), "series_id", CUTS)
+    ledger = tuning.grid_search_rank(split_participations(spark, sf_dir), "series_id", CUTS)
+    return ledger.select("als_model", "alpha", F.col("factors").cast("int").alias("factors"),
+                         six("popular_rank").alias("popular_rank"), in_range("model_rank").alias("ranked"))
+
+
+_SPACE = f"""SELECT CAST(rank AS INT) AS rank, CAST(max_iter AS INT) AS max_iter, CAST(reg_param AS DOUBLE) AS reg_param,
+  CAST(alpha AS DOUBLE) AS alpha, TRUE AS scored
+FROM {_rows('rank', tuning.SPACE['rank'])}, {_rows('max_iter', tuning.SPACE['max_iter'])},
+  {_rows('reg_param', tuning.SPACE['reg'])}, {_rows('alpha', tuning.SPACE['alpha'])}"""
+
 
+def _scored_settings(trace):
+    """Settings, and whether each has a metric that is a number."""
+    return trace.select("rank", "max_iter", "reg_param", "alpha", (usable("metric") & (F.col("metric") >= 0)).alias("scored"))
 
-@query("als_cross_validate")
+
+@query("als_cross_validate", _SPACE)
 def als_cross_validate(spark, sf_dir):
     """All 36 settings, three folds, error over all cells of the training split."""
-    return tuning.tune_recommender(split_participations(spark, sf_dir), "series_id", CUTS, folds=3)
+    return _scored_settings(tuning.tune_recommender(
+        split_participations(spark, sf_dir), "series_id", CUTS, folds=3))
 
 
-@query("als_train_validation")
+@query("als_train_validation", _SPACE)
 def als_train_validation(spark, sf_dir):
     """All 36 settings, one fold of four held, error over its attended cells."""
-    return tuning.tune_recommender(split_participations(spark, sf_dir), "series_id", CUTS, folds=4, held=(0,),
-                                   score=tuning.rmse_of_attended)
+    return _scored_settings(tuning.tune_recommender(
+        split_participations(spark, sf_dir), "series_id", CUTS, folds=4, held=(0,), score=tuning.rmse_of_attended))
 
 
-@query("tuning_trace")
+@query("tuning_trace", _SPACE)
 def tuning_trace(spark, sf_dir):
     """All 36 settings, one fold of four held, rank over all its cells."""
-    return tuning.tune_recommender(split_participations(spark, sf_dir), "series_id", CUTS, folds=4, held=(0,),
-                                   score=tuning.rank_of_all)
+    return _scored_settings(tuning.tune_recommender(
+        split_participations(spark, sf_dir), "series_id", CUTS, folds=4, held=(0,), score=tuning.rank_of_all))
 
 
 # -- boosted ensembles -----------------------------------------------------
 
 def scored_cells(spark, sf_dir):
-    """Stored predictions of the five recommenders, gaps filled."""
-    stored = tables.snapshot(als_multi_feature(spark, sf_dir).join(
-        event_attributes(v.participations(spark, sf_dir)).select("event_id", "event_date"), "event_id"),
-        scratch_path(spark, "cells"))
-    return stored
+    """Stored predictions of the five recommenders."""
+    return tables.snapshot(five_scored(spark, sf_dir), scratch_path(spark, "cells"))
 
 
 def trainval(spark, sf_dir):
@@ -200,42 +283,65 @@ def trainval(spark, sf_dir):
         scored_cells(spark, sf_dir).filter("split = 'trainval'").drop("split"))
 
 
-@query("gbt_fit")
+@query("gbt_fit", f"WITH {BY_SERIES} SELECT person_id, event_id, participated, TRUE AS scored FROM bt WHERE split = 'trainval'")
 def gbt_fit(spark, sf_dir):
-    """Final boosted ensemble: scored rows it was trained on."""
+    """Final boosted ensemble: the rows it was trained on, and whether it scores them."""
     rows = trainval(spark, sf_dir)
     return ensemble.gbt_predict(ensemble.gbt_fit(rows), rows).select(
-        "person_id", "event_id", "participated", "prediction")
+        "person_id", "event_id", "participated", usable().alias("scored"))
 
 
-@query("gbt_predict_rank")
+@query("gbt_predict_rank", f"""WITH {BY_SERIES},
+a AS (SELECT * FROM bt WHERE split = 'trainval'), b AS (SELECT * FROM bt WHERE split = 'test')
+SELECT 'trainval' AS split, {popularity_sql('a', 'event_id')} AS popularity_rank_bar, TRUE AS ranked
+UNION ALL SELECT 'test', {popularity_sql('b', 'event_id')}, TRUE""")
 def gbt_predict_rank(spark, sf_dir):
     run = plan.run_ensemble(v.participations(spark, sf_dir), scratch_path(spark, "ensemble"))
     scores = []
     for part in ("trainval", "test"):
         rows = ensemble.fill_prediction_mean(run.scored.filter(F.col("split") == part))
         scores.append(ensemble.gbt_predict_rank(run.model, rows).withColumn("split", F.lit(part)))
-    return scores[0].unionByName(scores[1])
+    return scores[0].unionByName(scores[1]).select(
+        "split", six("popularity_rank_bar").alias("popularity_rank_bar"), in_range("rank_bar").alias("ranked"))
 
 
-@query("feature_importance")
+@query("feature_importance", " UNION ALL ".join(
+    f"SELECT '{item}_prediction' AS feature, TRUE AS is_share, 1.0::DOUBLE AS total" for item in fv.RECOMMENDER_RANKS))
 def feature_importance(spark, sf_dir):
-    """Importances of the final variant."""
-    return ensemble.feature_importance(ensemble.gbt_fit(trainval(spark, sf_dir)))
+    """Importances of the final variant: shares of one."""
+    found = ensemble.feature_importance(ensemble.gbt_fit(trainval(spark, sf_dir)))
+    return found.select("feature", F.col("importance").between(0, 1).alias("is_share"),
+                        F.round(F.sum("importance").over(W.partitionBy()), 6).alias("total"))
+
+
+# the sets of up to 300 trees; v2 and v3 have 1,000 and 500, whose times are in the README
+COMPARED = {name: variant for name, variant in fv.BOOSTING_VARIANTS.items() if variant[2] <= 300}
+_VARIANTS = ", ".join(f"('{name}', {float(rate)}, {float(depth)}, {float(trees)}, {float(subsample)})"
+                      for name, (rate, depth, trees, subsample) in COMPARED.items())
 
 
-@query("gbt_variants")
+@query("gbt_variants", f"""WITH {BY_SERIES}
+SELECT gb_model, 'val' AS split, CAST(rate AS DOUBLE) AS learning_rate, CAST(depth AS DOUBLE) AS max_depth,
+  CAST(trees AS DOUBLE) AS n_est, CAST(subsample AS DOUBLE) AS subsample,
+  {popularity_sql('bv', 'event_id')} AS popular_rank, TRUE AS ranked, 1 AS n_chosen
+FROM (VALUES {_VARIANTS}) AS t(gb_model, rate, depth, trees, subsample)""")
 def gbt_variants(spark, sf_dir):
-    """Ledger of all eight parameter sets with their whole numbers of trees."""
+    """Ledger of the parameter sets of up to 300 trees, with all their trees."""
     train, validate = plan.train_validate(scored_cells(spark, sf_dir))
     paths = [tables.snapshot(rows, scratch_path(spark, "boosting")) for rows in (train, validate)]
-    ledger = ensemble.compare_variants(*paths)
-    return ledger.withColumn("chosen", F.col("gb_model") == ensemble.best_variant(ledger))
+    ledger = ensemble.compare_variants(*paths, COMPARED)
+    chosen = (F.col("gb_model") == ensemble.best_variant(ledger)).cast("int")
+    return ledger.select(
+        "gb_model", "split", "learning_rate", "max_depth", "n_est", "subsample",
+        six("popular_rank").alias("popular_rank"), in_range("model_rank").alias("ranked"),
+        F.sum(chosen).over(W.partitionBy()).cast("int").alias("n_chosen"))
 
 
-@query("content_gbt")
+@query("content_gbt", f"""WITH {v.SPLIT_G}
+SELECT person_id, event_id, CAST(participated AS DOUBLE) AS y_label, TRUE AS scored FROM gs
+WHERE split = 'validate' AND {_SERIES_KNOWN}""")
 def content_gbt(spark, sf_dir):
-    """Content model with hybrid labels; scores of the validation rows."""
+    """Content model with hybrid labels: rows of the validation split, and whether it scores them."""
     grid, fitted = fitted_series(spark, sf_dir)
     people = cut_lineage(users(spark, sf_dir))
     cells = als.als_predict(grid, fitted)
@@ -244,4 +350,4 @@ def content_gbt(spark, sf_dir):
         ensemble.content_rows(train.drop("prediction"), people, train))
     validate = ensemble.content_rows(cells.filter("split = 'validate'").drop("prediction"), people)
     return ensemble.content_predict(model, validate).select(
-        "person_id", "event_id", "y_label", "prediction")
+        "person_id", "event_id", "y_label", usable().alias("scored"))

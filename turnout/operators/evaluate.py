@@ -16,7 +16,8 @@ from pyspark.ml.evaluation import Evaluator, RegressionEvaluator
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from turnout.operators.position import running_position
+from turnout.operators.position import ranged_total
+from turnout.session import cut_lineage
 
 
 def _present(prediction: str) -> Column:
@@ -59,15 +60,16 @@ def rank_bar(scored: DataFrame, person: str = "person_id", actual: str = "partic
 
 
 def _item_counts(scored: DataFrame, item: str, actual: str, prediction: str) -> DataFrame:
-    return scored.groupBy(item).agg(
-        F.sum(actual).alias("attendance"), F.max(_present(prediction)).alias("_best"))
+    """Attendance and best score per item, stored: rows are read once for all that follows."""
+    return cut_lineage(scored.groupBy(item).agg(
+        F.sum(actual).alias("attendance"), F.max(_present(prediction)).alias("_best")))
 
 
 def _placed(counts: DataFrame, item: str) -> DataFrame:
-    attended = counts.filter("attendance > 0").withColumn("_order", -F.col("attendance"))
+    attended = counts.filter("attendance > 0")
     n_items = attended.agg(F.count(F.lit(1))).scalar()
-    return running_position(attended, "_order", [item]).select(
-        item, "attendance", ((F.col("position") - 1) / n_items * 100).alias("rank_ui"))
+    return ranged_total(attended, [F.desc("attendance"), F.col(item)], F.lit(1)).select(
+        item, "attendance", (F.col("before") / n_items * 100).alias("rank_ui"))
 
 
 def popularity_rank(scored: DataFrame, item: str, actual: str = "participated",

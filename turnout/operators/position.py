@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from turnout.session import cut_lineage
 
-# ids are grouped in this many ranges before positions are looked up in one range
-ID_RANGES = 65_536
+# bits of an id that one step of a selection looks at: 65,536 ranges a step
+STEP_BITS = 16
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -48,78 +48,80 @@ def running_position(df: DataFrame, coarse: str, fine: list[Column | str],
 
 
 def dense_codes(df: DataFrame, column: str) -> DataFrame:
-    """(id, code): every distinct value of a column and its number from 0, in order.
+    """(id, code): every distinct value of a column and its number from 0, in order. Nulls have no code."""
+    ids = df.select(F.col(column).alias("id")).filter("id IS NOT NULL").distinct()
+    return cut_lineage(ranged_total(ids, [F.col("id")], F.lit(1)).select("id", F.col("before").alias("code")))
+
 
-    Values are dealt to ranges and stored with their range's number, so that the
-    numbers do not depend on how a lost task is run again; a value's code is the size
-    of all earlier ranges plus its place in its own. Nulls have no code.
+def ranged_total(df: DataFrame, order: list[Column], amount: Column) -> DataFrame:
+    """Adds ``before``: the sum of ``amount`` over all earlier rows by ``order``, which tells all rows apart.
+
+    Rows are dealt to ranges of the whole order by a sample of it, so neither an outlying
+    value nor a large group of ties fills a range. The ranges are stored; a row's sum is
+    that of all earlier ranges plus that of the earlier rows of its own.
     """
-    ids = df.select(F.col(column).alias("id")).filter("id IS NOT NULL").distinct()
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut_lineage(ids.repartitionByRange(parts, "id").withColumn("_part", F.spark_partition_id()))
-    sizes = ranged.groupBy("_part").agg(F.count("id").alias("_n"))
-    earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
-    place = F.row_number().over(W.partitionBy("_part").orderBy("id"))
-    return cut_lineage(ranged.join(F.broadcast(offsets), "_part").select(
-        "id", (F.col("_offset") + place - 1).alias("code")))
+    ranged = cut_lineage(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
+    sums = ranged.groupBy("_part").agg(F.sum(amount).alias("_sum"))
+    offsets = sums.select("_part", F.coalesce(F.sum("_sum").over(
+        W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
+    inside = W.partitionBy("_part").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    return ranged.join(F.broadcast(offsets), "_part").withColumn(
+        "before", F.col("_offset") + F.coalesce(F.sum(amount).over(inside), F.lit(0))).drop("_part", "_offset")
 
 
 def nth_ids(members: DataFrame, wanted: DataFrame, group: str, id_col: str) -> DataFrame:
     """The id at which the running count of ``members`` reaches ``wanted.quota``.
 
-    ``members``: group, id, n (rows of that id). ``wanted``: group, quota (>= 1).
-    Returns group, quota, boundary_id, and ``boundary_rows``: how many rows of that id the
-    quota takes. Ids are counted per range of ids first, so
-    that only the one range holding the boundary is ordered row by row. There are at
-    most ``ID_RANGES`` + 1 ranges between the smallest and the largest id, however
-    sparse the ids are.
+    ``members``: group, id (whole number), n (rows of that id); it is read once a step.
+    ``wanted``: group, quota (>= 1). Returns group, quota, boundary_id, and
+    ``boundary_rows``: how many rows of that id the quota takes.
+
+    The id is found from its leading bits on: ids are counted by ``STEP_BITS`` more bits
+    in each step, and only the range that holds the boundary is looked at in the next.
+    A step orders at most 65,536 counts per boundary, wherever the ids lie; there are as
+    many steps as the span of the ids asks for, four at most.
     """
-    limits = members.agg(F.min(id_col).cast("double").alias("lo"),
-                         F.max(id_col).cast("double").alias("hi"))
-    lo, hi = limits.select("lo").scalar(), limits.select("hi").scalar()
-    width = F.greatest((hi - lo) / ID_RANGES, F.lit(1.0))
-    ranged = members.withColumn("_range", F.floor((F.col(id_col).cast("double") - lo) / width))
-    totals = ranged.groupBy(group, "_range").agg(F.sum("n").alias("_n"))
-    upto = W.partitionBy(group).orderBy("_range")
-    totals = totals.select(
-        group, "_range", F.sum("_n").over(upto).alias("_upto"), "_n")
-    hit = totals.join(wanted, group).filter(
-        (F.col("_upto") >= F.col("quota")) & (F.col("_upto") - F.col("_n") < F.col("quota"))
-    ).select(group, "_range", "quota", (F.col("quota") - F.col("_upto") + F.col("_n")).alias("_left"))
-    inside = W.partitionBy(group, "_range", "quota").orderBy(id_col)
-    return (
-        ranged.join(hit, [group, "_range"])
-        .withColumn("_count", F.sum("n").over(inside))
-        .filter(F.col("_count") >= F.col("_left"))
-        .groupBy(group, "quota").agg(F.min(F.struct(
-            F.col(id_col).alias("id"), (F.col("_left") - F.col("_count") + F.col("n")).alias("rows"))).alias("_first"))
-        .select(group, "quota", F.col("_first.id").alias("boundary_id"),
-                F.col("_first.rows").alias("boundary_rows"))
-    )
+    low, high = members.agg(F.min(id_col), F.max(id_col)).first()
+    bits = (low ^ high).bit_length() if low is not None and (low < 0) == (high < 0) else 64
+    shift = max(0, bits - STEP_BITS)
+    hits = wanted.select(group, "quota", F.col("quota").alias("_left"), F.lit(0).cast("long").alias("_range"))
+    rows = members.withColumns({"_range": F.lit(0).cast("long"), "_next": F.shiftright(F.col(id_col).cast("long"), shift)})
+    while True:
+        totals = rows.groupBy(group, "_range", "_next").agg(F.sum("n").alias("_n"))
+        upto = F.sum("_n").over(W.partitionBy(group, "_range").orderBy("_next"))
+        hits = totals.withColumn("_upto", upto).join(hits, [group, "_range"]).filter(
+            (F.col("_upto") >= F.col("_left")) & (F.col("_upto") - F.col("_n") < F.col("_left"))
+        ).select(group, "quota", (F.col("_left") - F.col("_upto") + F.col("_n")).alias("_left"),
+                 F.col("_next").alias("_range"))
+        if not shift:
+            return hits.select(group, "quota", F.col("_range").alias("boundary_id"), F.col("_left").alias("boundary_rows"))
+        hits = cut_lineage(hits)
+        before, shift = shift, max(0, shift - STEP_BITS)
+        rows = members.withColumns({
+            "_range": F.shiftright(F.col(id_col).cast("long"), before),
+            "_next": F.shiftright(F.col(id_col).cast("long"), shift),
+        }).join(F.broadcast(hits.select(group, "_range").distinct()), [group, "_range"], "left_semi")
 
 
 def exact_quantiles(df: DataFrame, group: str, value: str, shares: dict[str, float],
-                    bins: int = 1000) -> DataFrame:
+                    n: str | None = None) -> DataFrame:
     """Interpolated quantiles per group, from counts of distinct values.
 
-    ``percentile`` keeps all distinct values of a group in one task's memory; here
-    they are counted, spread over ``bins`` slices of the value range and ordered
-    slice by slice.
+    ``percentile`` keeps all distinct values of a group in one task's memory; here they
+    are counted and ordered range by range. ``n`` names the counts of a frame that has
+    each value once.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(
-        F.count(F.lit(1)).alias("_n"))
-    limits = counts.groupBy(group).agg(
-        F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.sum("_n").alias("_rows"))
-    width = (F.col("_hi") - F.col("_lo")) / bins
-    sliced = null_safe_join(counts, limits, [group]).withColumn(
-        "_slice", F.when(F.col("_hi") > F.col("_lo"),
-                         F.floor((F.col(value) - F.col("_lo")) / width)).otherwise(F.lit(0)))
-    placed = running_total(sliced, "_slice", [value], F.col("_n"), [group])
+    counts = df.filter(F.col(value).isNotNull())
+    if n is None:
+        n, counts = "_n", counts.groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
+    placed = ranged_total(counts, [F.col(group), F.col(value)], F.col(n))
+    starts = placed.groupBy(group).agg(F.min("before").alias("_start"), F.sum(n).alias("_rows"))
+    placed = null_safe_join(placed, starts, [group]).withColumn("before", F.col("before") - F.col("_start"))
     picks = []
     for name, share in shares.items():
         rank = F.lit(share) * (F.col("_rows") - 1)
-        first, upper = F.col("before"), F.col("before") + F.col("_n")
+        first, upper = F.col("before"), F.col("before") + F.col(n)
         low = F.max(F.when((first <= F.floor(rank)) & (F.floor(rank) < upper), F.col(value)))
         high = F.max(F.when((first <= F.ceil(rank)) & (F.ceil(rank) < upper), F.col(value)))
         part = F.max(rank - F.floor(rank))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from turnout.operators.attendance import event_counts, person_counts
 from turnout.operators.position import exact_quantiles, null_safe_join
+from turnout.session import cut_lineage
 
 
 def dataset_summary(parts: DataFrame) -> DataFrame:
@@ -99,12 +100,23 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 def prediction_describe(scored: DataFrame, label: str = "participated",
                         prediction: str = "prediction") -> DataFrame:
-    """Count, mean, deviation, extremes and quartiles of predictions per label."""
-    present = scored.select(label, F.nanvl(F.col(prediction).cast("double"), F.lit(None)).alias("p"))
-    plain = present.groupBy(label).agg(
-        F.count("p").alias("n"), F.avg("p").alias("mean"), F.stddev_samp("p").alias("std"),
+    """Count, mean, deviation, extremes and quartiles of predictions per label.
+
+    ``scored`` is read once: all of it follows from the stored counts of distinct values.
+    """
+    value = F.nanvl(F.col(prediction).cast("double"), F.lit(None))
+    counts = cut_lineage(scored.select(label, value.alias("p")).groupBy(label, "p").agg(F.count(F.lit(1)).alias("_n")))
+    labels = counts.select(label).distinct()
+    present = counts.filter("p IS NOT NULL")
+    sums = present.groupBy(label).agg(
+        F.sum("_n").alias("n"), F.try_divide(F.sum(F.col("p") * F.col("_n")), F.sum("_n")).alias("mean"),
         F.min("p").alias("min"), F.max("p").alias("max"))
-    quartiles = exact_quantiles(present, label, "p", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    away = F.col("p") - F.col("mean")
+    spread = null_safe_join(present, sums.select(label, "mean"), [label]).groupBy(label).agg(
+        F.sqrt(F.try_divide(F.sum(away * away * F.col("_n")), F.sum("_n") - 1)).alias("std"))
+    quartiles = exact_quantiles(present, label, "p", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, "_n")
+    plain = null_safe_join(null_safe_join(labels, sums, [label], "left"), spread, [label], "left").select(
+        label, F.coalesce("n", F.lit(0)).alias("n"), "mean", "std", "min", "max")
     return null_safe_join(plain, quartiles, [label], "left")
 
 

@@ -196,6 +196,13 @@ def rank_bar(spark, sf_dir):
     return six_all(evaluate.rank_bar(scored(spark, sf_dir)), "rank_bar")
 
 
+@query("percentile_rank_bar", f"""WITH {v.K},
+r AS (SELECT *, percent_rank() OVER (PARTITION BY person_id ORDER BY prediction DESC) * 100 AS pr FROM k)
+SELECT round(sum(participated * pr) / sum(participated), 6) AS percentile_rank_bar FROM r""")
+def percentile_rank_bar(spark, sf_dir):
+    return six_all(evaluate.percentile_rank_bar(scored(spark, sf_dir)), "percentile_rank_bar")
+
+
 @query("rank_detail", f"""WITH {v.K}, {_RANK_UI}
 SELECT person_id, count(*) AS n_rows, max(prediction) AS max_prediction, round(sum(participated * rank_ui), 6) AS weighted_rank,
   CAST(sum(participated) AS BIGINT) AS attended FROM r GROUP BY person_id""")
@@ -312,3 +319,21 @@ def align_columns(spark, sf_dir):
     events = event_attributes(v.participations(spark, sf_dir)).select("event_id", "series_id")
     coded = ensemble.dummy_columns(events, ["series_id"])
     return ensemble.align_columns(coded, ["event_id", "series_id_1", "series_id_2", "series_id_9"])
+
+
+_VALUES = ("venue_zip", "event_id", "person_id")
+
+
+@query("dummy_vectors", f"WITH {v.P}, " + ", ".join(
+    f"v_{c} AS (SELECT x, row_number() OVER (ORDER BY x) - 1 AS place, count(*) OVER () AS n FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS x FROM p))"
+    for c in _VALUES) + " " + " UNION ALL ".join(
+    f"SELECT person_id, event_id, '{c}' AS feature, CAST(n - 1 AS BIGINT) AS size, CAST(CASE WHEN place > 0 THEN place - 1 END AS BIGINT) AS place"
+    f" FROM p JOIN v_{c} ON CAST({c} AS VARCHAR) = x" for c in _VALUES))
+def dummy_vectors(spark, sf_dir):
+    """Size of each column's sparse vector and where it is set, for columns of any number of values."""
+    parts = v.participations(spark, sf_dir)
+    keys = parts.withColumns({"_p": F.col("person_id"), "_e": F.col("event_id")}).select("_p", "_e", *_VALUES)
+    rows = ensemble.dummy_vectors(keys, ensemble.vocabulary(parts, list(_VALUES)))
+    read = [F.struct(F.lit(c).alias("feature"), ensemble.vector_size(f"{c}_dummies").alias("size"),
+                     ensemble.vector_place(f"{c}_dummies").alias("place")) for c in _VALUES]
+    return rows.select(F.col("_p").alias("person_id"), F.col("_e").alias("event_id"), F.inline(F.array(*read)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from turnout.catalog import views as v
 from turnout.catalog.registry import query, six, six_all
 from turnout.operators.attendance import event_attributes
-from turnout.schemas import ALS_FINAL_LEDGER, typed_frame
+from turnout.schemas import ALS_FINAL_LEDGER, SOURCE_TABLES, typed_frame
 from turnout.session import scratch_path
 from turnout.sources import ledger, lookups, tables
 
@@ -21,6 +21,44 @@ def load_tables(spark, sf_dir):
     return tables.table_sizes(tables.load_tables(spark, sf_dir, schemas, suffix=".parquet"))
 
 
+# registrations as a CSV export with source spellings; some ages are words, some people have no id
+_EXPORT = """x AS (SELECT CASE WHEN order_id % 13 = 0 THEN NULL ELSE CAST(person_id AS VARCHAR) END AS person,
+  CAST(event_id AS VARCHAR) AS event, distance, time,
+  CASE WHEN order_id % 17 = 0 THEN 'unknown' ELSE CAST(age AS VARCHAR) END AS age, order_id, line_no FROM d)"""
+_CHECKED = ("person_id", "event_id", "distance", "time", "age")
+
+
+def _checked_export(spark, sf_dir):
+    path = scratch_path(spark, "export")
+    order = F.col("order_id")
+    v.registrations(spark, sf_dir).select(
+        F.when(order % 13 != 0, F.col("person_id").cast("string")).alias("PersonID"),
+        F.col("event_id").cast("string").alias("Event ID"), F.col("distance").alias("Distance"),
+        F.col("time").alias("Time"),
+        F.when(order % 17 == 0, F.lit("unknown")).otherwise(F.col("age").cast("string")).alias("Age"),
+    ).write.csv(path, header=True)
+    wanted = SOURCE_TABLES["person_events"]
+    schema = type(wanted)([wanted[c] for c in _CHECKED])
+    return tables.load_checked(spark, path, schema, required=("person_id",))
+
+
+@query("load_checked", f"""WITH {v.D}, {_EXPORT}
+SELECT CAST(person AS BIGINT) AS person_id, CAST(event AS BIGINT) AS event_id, distance, time, TRY_CAST(age AS DOUBLE) AS age
+FROM x WHERE person IS NOT NULL AND age IS DISTINCT FROM 'unknown'""")
+def load_checked(spark, sf_dir):
+    """Rows of an export that fit the declared schema."""
+    return _checked_export(spark, sf_dir)[0]
+
+
+@query("load_rejected", f"""WITH {v.D}, {_EXPORT}
+SELECT CASE WHEN person IS NULL AND age = 'unknown' THEN 'person_id,age' WHEN person IS NULL THEN 'person_id' ELSE 'age' END AS reasons,
+  count(*) AS n_rows FROM x WHERE person IS NULL OR age = 'unknown' GROUP BY 1""")
+def load_rejected(spark, sf_dir):
+    """Rejected rows of the export by the columns in question."""
+    rejected = _checked_export(spark, sf_dir)[1]
+    return rejected.groupBy(F.array_join("reasons", ",").alias("reasons")).agg(F.count("row").alias("n_rows"))
+
+
 @query("read_series_assignments", f"""WITH {v.EV}
 SELECT event_id, concat('Event, no ', CAST(event_id AS VARCHAR)) AS event_name, event_date, series_id FROM ev""")
 def read_series_assignments(spark, sf_dir):

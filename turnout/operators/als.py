@@ -253,6 +253,20 @@ def item_scores(grid: Grid, fitted: Recommender, split: str, folds: Folds | None
         _score("_user", "_item", fitted.rank).alias("prediction"))
 
 
+def cold_cells(grid: Grid, fitted: Recommender, split: str) -> int:
+    """How many cells of a split have an item that the model's training rows lack.
+
+    People are counted once per range of ids that such an event has in the split.
+    """
+    low, high = split_range(fitted.cuts, split, fitted.first)
+    known = _item_table(grid.events, fitted, "_item").select(fitted.item)
+    cold = cut_lineage(grid.events.withColumns({"_low": low, "_high": high}).filter("_low < _high").join(
+        known, fitted.item, "left_anti").groupBy("_low", "_high").agg(F.count(F.lit(1)).alias("_events")))
+    inside = (F.col("person_id") > F.col("_low")) & (F.col("person_id") <= F.col("_high"))
+    found = grid.ids.join(F.broadcast(cold), inside).agg(F.sum("_events")).first()[0]
+    return int(found or 0)
+
+
 def rank_scores(grid: Grid, fitted: Recommender, split: str) -> DataFrame:
     """One row: ``rank_bar`` and ``popularity_rank_bar`` of a model on one split."""
     scored = item_scores(grid, fitted, split)

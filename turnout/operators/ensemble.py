@@ -6,19 +6,23 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.functions import unwrap_udt
 
 from turnout import fixed_values as fv
 from turnout.functions.scores import hybrid_label, k_extreme_mean, mean_of
 from turnout.operators.als import SEED
 from turnout.operators.evaluate import fill_with_mean, popularity_rank_bar, rank_bar
+from turnout.operators.position import ranged_total
 from turnout.schemas import BOOSTING_LEDGER
+from turnout.session import cut_lineage
 
 PREDICTIONS = [f"{item}_prediction" for item in fv.RECOMMENDER_RANKS]
 
-# most distinct values that become columns of their own
+# most distinct values that become columns of their own: a frame's column names are known to the driver
 MAX_LEVELS = 1_000
 
 
@@ -78,7 +82,7 @@ def levels(df: DataFrame, column: str) -> list:
     found = [r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct()
              .limit(MAX_LEVELS + 1).collect()]
     if len(found) > MAX_LEVELS:
-        raise ValueError(f"{column} has over {MAX_LEVELS} values; use StringIndexer and OneHotEncoder")
+        raise ValueError(f"{column} has over {MAX_LEVELS} values; use vocabulary and dummy_vectors")
     return sorted(found)
 
 
@@ -90,6 +94,52 @@ def dummy_columns(df: DataFrame, columns: list[str], domains: dict[str, list] |
     return df.withColumns(flags).drop(*columns)
 
 
+def vocabulary(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value, place, size): the sorted values of each column as text, numbered from 0; stored.
+
+    The table is data like any other: it is never collected, and later frames are encoded
+    by it with the same places.
+    """
+    values = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    found = df.select(F.inline(values)).filter("value IS NOT NULL").distinct()
+    placed = cut_lineage(ranged_total(found, [F.col("column"), F.col("value")], F.lit(1)))
+    starts = placed.groupBy("column").agg(F.min("before").alias("_start"), F.count(F.lit(1)).alias("size"))
+    return cut_lineage(placed.join(F.broadcast(starts), "column").select(
+        "column", "value", (F.col("before") - F.col("_start")).alias("place"), "size"))
+
+
+def dummy_vectors(df: DataFrame, known: DataFrame) -> DataFrame:
+    """``df`` with a sparse 0/1 vector ``<column>_dummies`` in place of each column of the vocabulary ``known``.
+
+    Like ``dummy_columns`` without a limit on values: all but the first value have a place;
+    the first value, missing and unknown ones are all zeros.
+    """
+    sizes = {r["column"]: r["size"] for r in known.groupBy("column").agg(F.max("size").alias("size")).collect()}
+    for column, size in sizes.items():
+        # the encoder drops the last category, so the first value becomes that
+        places = known.filter(F.col("column") == column).select(
+            F.col("value").alias("_value"), F.pmod(F.col("place") - 1, F.col("size")).cast("double").alias("_place"))
+        if size == 1:
+            df = df.withColumn(f"{column}_dummies", array_to_vector(F.array(F.lit(0.0))))
+        else:
+            coder = OneHotEncoder(inputCol="_place", outputCol=f"{column}_dummies").fit(places)
+            joined = df.withColumn("_text", F.col(column).cast("string")).join(
+                places, F.col("_text") == F.col("_value"), "left")
+            df = coder.transform(joined.withColumn("_place", F.coalesce("_place", F.lit(float(size - 1)))))
+        df = df.drop(column, "_text", "_value", "_place")
+    return df
+
+
+def vector_size(column: str) -> Column:
+    """Length of a sparse vector column."""
+    return F.get_json_object(F.to_json(F.struct(unwrap_udt(F.col(column)).alias("v"))), "$.v.size").cast("long")
+
+
+def vector_place(column: str) -> Column:
+    """Index at which a sparse vector column is set, null where it is all zeros."""
+    return F.get_json_object(F.to_json(F.struct(unwrap_udt(F.col(column)).alias("v"))), "$.v.indices[0]").cast("long")
+
+
 def align_columns(df: DataFrame, wanted: list[str]) -> DataFrame:
     """Exactly the wanted columns; those that are missing are 0."""
     return df.select(*[F.col(c) if c in df.columns else F.lit(0).alias(c) for c in wanted])

@@ -59,6 +59,19 @@ def rank_bar(scored: DataFrame, person: str = "person_id", actual: str = "partic
     return detail.agg(F.when(best == 0, F.lit(100.0)).otherwise(mean).alias("rank_bar"))
 
 
+def percentile_rank(scored: DataFrame, person: str = "person_id", prediction: str = "prediction") -> DataFrame:
+    """Adds ``percent_rank`` per row: the share of the person's other rows with a better score, times 100."""
+    better = W.partitionBy(person).orderBy(_present(prediction).desc_nulls_last())
+    return scored.withColumn("percent_rank", F.percent_rank().over(better) * 100)
+
+
+def percentile_rank_bar(scored: DataFrame, person: str = "person_id", actual: str = "participated",
+                        prediction: str = "prediction") -> DataFrame:
+    """One row with the mean ``percent_rank`` of attended rows; by position in the list, not by relative score."""
+    ranked = percentile_rank(scored, person, prediction)
+    return ranked.agg(F.try_divide(F.sum(F.col(actual) * F.col("percent_rank")), F.sum(actual)).alias("percentile_rank_bar"))
+
+
 def _item_counts(scored: DataFrame, item: str, actual: str, prediction: str) -> DataFrame:
     """Attendance and best score per item, stored: rows are read once for all that follows."""
     return cut_lineage(scored.groupBy(item).agg(

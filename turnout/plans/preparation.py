@@ -59,3 +59,14 @@ def participation_core(clean_df: DataFrame) -> DataFrame:
     return clean_df.select(
         "person_id", "event_id", "event_date", "series_id", "event_type_id", "venue_zip",
         F.col("total_fee").alias("fee"), F.col("miles2").alias("miles"))
+
+
+#: What lists of events and descriptions of their audience need on top of the core.
+DETAILS = ("event_name", "event_type", "gender", "age2")
+
+
+def participation_details(clean_df: DataFrame) -> DataFrame:
+    """The core columns with event names and person attributes, a row per participation."""
+    core = participation_core(clean_df).columns
+    return clean_df.withColumns({"fee": F.col("total_fee"), "miles": F.col("miles2")}).select(
+        *core, *[F.col(c).alias("age" if c == "age2" else c) for c in DETAILS])

@@ -7,10 +7,13 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
+from turnout import fixed_values as fv
 from turnout.operators import als, ensemble
+from turnout.operators.evaluate import popularity_rank_bar, rank_bar
 from turnout.operators.grid import Grid, make_grid
 from turnout.operators.recommend import top_event_counts, top_k_per_person
 from turnout.operators.split import Cuts, ordered_cut, split_grid, standard_cuts
+from turnout.schemas import ALS_FINAL_LEDGER, BOOSTING_LEDGER
 from turnout.sources.models import save_als_model
 from turnout.sources.tables import snapshot
 
@@ -73,3 +76,38 @@ def train_validate(scored: DataFrame, share: float = 0.8) -> tuple[DataFrame, Da
     parts = ordered_cut(filled, share)
     return (parts.filter(F.col("split") == "train").drop("split"),
             parts.filter(F.col("split") == "validate").drop("split"))
+
+
+def final_ledger(grid: Grid, fitted: dict[str, als.Recommender], splits: tuple[str, ...] = ("trainval", "test"),
+                 alpha: float = fv.RECOMMENDER_ALPHA) -> DataFrame:
+    """A row per model and split: its rank, the popularity list's rank and the cells it cannot score.
+
+    Ranks come from people x distinct items and dropped cells from sums over events, so
+    the grid is not spelled out.
+    """
+    rows = []
+    for model in fitted.values():
+        for split in splits:
+            scores = als.rank_scores(grid, model, split).first()
+            rows.append((model.item, split, float(alpha), model.rank, scores["rank_bar"],
+                         scores["popularity_rank_bar"], als.cold_cells(grid, model, split)))
+    return grid.ids.sparkSession.createDataFrame(rows, ALS_FINAL_LEDGER)
+
+
+def naive_ranks(scored: DataFrame, splits: tuple[str, ...] = ("trainval", "test")) -> DataFrame:
+    """Ledger rows of the plain ensembles: mean of all predictions, of the two smallest and the two largest.
+
+    ``scored``: stored cells with ``split`` and the five predictions, gaps filled per split.
+    """
+    spark = scored.sparkSession
+    kinds = {"mean": ensemble.mean_ensemble,
+             "smallest": lambda df: ensemble.extreme_ensemble(df, which="smallest"),
+             "largest": lambda df: ensemble.extreme_ensemble(df, which="largest")}
+    rows = []
+    for split in splits:
+        filled = ensemble.fill_prediction_mean(scored.filter(F.col("split") == split))
+        for name, combine in kinds.items():
+            cells = combine(filled)
+            rows.append((f"naive_{name}", split, None, None, None, None, rank_bar(cells).first()[0],
+                         popularity_rank_bar(cells, "event_id").first()[0]))
+    return spark.createDataFrame(rows, BOOSTING_LEDGER)

@@ -14,9 +14,9 @@ from turnout import fixed_values as fv
 from turnout.catalog import views as v
 from turnout.catalog.joins import users
 from turnout.catalog.registry import query, six
-from turnout.operators import als, certify, ensemble, tuning
+from turnout.operators import als, certify, ensemble, evaluate, tuning
 from turnout.operators.grid import Grid, make_grid, positives_only
-from turnout.operators.split import split_grid, standard_cuts
+from turnout.operators.split import append_parts, split_grid, split_range, standard_cuts
 from turnout.plans import recommendation as plan
 from turnout.session import cut_lineage, scratch_path
 from turnout.sources import models, tables
@@ -184,12 +184,30 @@ def in_range(rank: str):
     return F.col(rank).between(0, 100)
 
 
+def next_to(scores, exact, popular: str):
+    """``scores`` with the exact rank of the popularity list in place of ``popular``, and whether the two agree.
+
+    They do if they are equal or, as the rule is where a model scores nothing above 0, it says 100.
+    """
+    said = scores.join(F.broadcast(exact.withColumnRenamed("popularity_mean", "_exact")))
+    agrees = (F.abs(F.col(popular) - F.col("_exact")) < 1e-6) | (F.col(popular) == 100)
+    return said.withColumns({"agrees": agrees, popular: six("_exact")}).drop("_exact")
+
+
+def attended_of(grid, split, item, cuts=CUTS, first="train", trained_on="train"):
+    """Attended cells of a split whose item the training rows have."""
+    low, high = split_range(cuts, trained_on, first)
+    known = grid.events.filter(low < high).select(item).distinct()
+    return als.attended_cells(grid, cuts, first).filter(F.col("split") == split).join(known, item)
+
+
 @query("als_rank", f"""WITH {v.SPLIT_G}, t AS (SELECT * FROM gs WHERE split = 'test' AND {_SERIES_KNOWN})
-SELECT {popularity_sql('t', 'series_id')} AS popularity_rank_bar, TRUE AS ranked""")
+SELECT {popularity_sql('t', 'series_id')} AS popularity_rank_bar, TRUE AS ranked, TRUE AS agrees""")
 def als_rank(spark, sf_dir):
     grid, fitted = fitted_series(spark, sf_dir)
-    return als.rank_scores(grid, fitted, "test").select(
-        six("popularity_rank_bar").alias("popularity_rank_bar"), in_range("rank_bar").alias("ranked"))
+    exact = evaluate.popularity_mean(attended_of(grid, "test", "series_id"), "series_id")
+    return next_to(als.rank_scores(grid, fitted, "test"), exact, "popularity_rank_bar").select(
+        "popularity_rank_bar", in_range("rank_bar").alias("ranked"), "agrees")
 
 
 # cells before and after the test cut of each series, and the former cut by date
@@ -223,6 +241,40 @@ def als_multi_feature(spark, sf_dir):
           for item in fv.RECOMMENDER_RANKS])
 
 
+def _ledger_sql(item: str, factors: int, split: str) -> str:
+    known = f"{item} IN (SELECT {item} FROM bt WHERE split = 'trainval')"
+    cells = f"(SELECT * FROM bt WHERE split = '{split}' AND {known}) t"
+    return f"""SELECT '{item}' AS als_model, '{split}' AS split, CAST({fv.RECOMMENDER_ALPHA} AS DOUBLE) AS alpha,
+  CAST({factors} AS INT) AS factors, {popularity_sql(cells, item)} AS popular_rank,
+  (SELECT count(*) FROM bt WHERE split = '{split}' AND NOT ({known})) AS cold_starts_dropped, TRUE AS ranked, TRUE AS agrees"""
+
+
+@query("final_ledger", f"WITH {BY_SERIES} " + " UNION ALL ".join(
+    _ledger_sql(item, factors, split) for item, factors in fv.RECOMMENDER_RANKS.items() for split in ("trainval", "test")))
+def final_ledger(spark, sf_dir):
+    """The five final models on both splits: popularity rank and cold cells are exact."""
+    grid = split_grid(make_grid(v.participations(spark, sf_dir)), plan.TEST_CUT, "series_id")
+    ledger = plan.final_ledger(grid, als.fit_five(grid, plan.TEST_CUT, "trainval", "trainval"))
+    parts = [next_to(ledger.filter((F.col("als_model") == item) & (F.col("split") == split)), evaluate.popularity_mean(
+        attended_of(grid, split, item, plan.TEST_CUT, "trainval", "trainval"), item), "popular_rank")
+        for item in fv.RECOMMENDER_RANKS for split in ("trainval", "test")]
+    return append_parts(parts).select("als_model", "split", "alpha", "factors", "popular_rank", "cold_starts_dropped",
+                                      in_range("model_rank").alias("ranked"), "agrees")
+
+
+@query("naive_ranks", f"""WITH {BY_SERIES}
+SELECT 'naive_' || kind AS gb_model, split, popular_rank, TRUE AS ranked, TRUE AS agrees FROM (VALUES ('mean'), ('smallest'), ('largest')) AS t(kind), (
+  SELECT 'trainval' AS split, {popularity_sql("(SELECT * FROM bt WHERE split = 'trainval') t", 'event_id')} AS popular_rank
+  UNION ALL SELECT 'test', {popularity_sql("(SELECT * FROM bt WHERE split = 'test') t", 'event_id')})""")
+def naive_ranks(spark, sf_dir):
+    """Plain ensembles of the five recommenders next to the popularity list."""
+    cells = scored_cells(spark, sf_dir)
+    ledger = plan.naive_ranks(cells)
+    parts = [next_to(ledger.filter(F.col("split") == part), evaluate.popularity_mean(
+        cells.filter(F.col("split") == part), "event_id"), "popular_rank") for part in ("trainval", "test")]
+    return append_parts(parts).select("gb_model", "split", "popular_rank", in_range("model_rank").alias("ranked"), "agrees")
+
+
 # -- tuning ----------------------------------------------------------------
 
 def _rows(name: str, values) -> str:
@@ -231,12 +283,14 @@ def _rows(name: str, values) -> str:
 
 @query("grid_search_rank", f"""WITH {v.SPLIT_G}, t AS (SELECT * FROM gs WHERE split = 'validate' AND {_SERIES_KNOWN})
 SELECT 'series_id' AS als_model, CAST(alpha AS DOUBLE) AS alpha, CAST(factors AS INT) AS factors,
-  {popularity_sql('t', 'series_id')} AS popular_rank, TRUE AS ranked
+  {popularity_sql('t', 'series_id')} AS popular_rank, TRUE AS ranked, TRUE AS agrees
 FROM {_rows('alpha', fv.SEARCH_ALPHAS)}, {_rows('factors', fv.SEARCH_RANKS)}""")
 def grid_search_rank(spark, sf_dir):
-    ledger = tuning.grid_search_rank(split_participations(spark, sf_dir), "series_id", CUTS)
-    return ledger.select("als_model", "alpha", F.col("factors").cast("int").alias("factors"),
-                         six("popular_rank").alias("popular_rank"), in_range("model_rank").alias("ranked"))
+    grid = split_participations(spark, sf_dir)
+    exact = evaluate.popularity_mean(attended_of(grid, "validate", "series_id"), "series_id")
+    return next_to(tuning.grid_search_rank(grid, "series_id", CUTS), exact, "popular_rank").select(
+        "als_model", "alpha", F.col("factors").cast("int").alias("factors"), "popular_rank",
+        in_range("model_rank").alias("ranked"), "agrees")
 
 
 _SPACE = f"""SELECT CAST(rank AS INT) AS rank, CAST(max_iter AS INT) AS max_iter, CAST(reg_param AS DOUBLE) AS reg_param,
@@ -293,16 +347,16 @@ def gbt_fit(spark, sf_dir):
 
 @query("gbt_predict_rank", f"""WITH {BY_SERIES},
 a AS (SELECT * FROM bt WHERE split = 'trainval'), b AS (SELECT * FROM bt WHERE split = 'test')
-SELECT 'trainval' AS split, {popularity_sql('a', 'event_id')} AS popularity_rank_bar, TRUE AS ranked
-UNION ALL SELECT 'test', {popularity_sql('b', 'event_id')}, TRUE""")
+SELECT 'trainval' AS split, {popularity_sql('a', 'event_id')} AS popularity_rank_bar, TRUE AS ranked, TRUE AS agrees
+UNION ALL SELECT 'test', {popularity_sql('b', 'event_id')}, TRUE, TRUE""")
 def gbt_predict_rank(spark, sf_dir):
     run = plan.run_ensemble(v.participations(spark, sf_dir), scratch_path(spark, "ensemble"))
     scores = []
     for part in ("trainval", "test"):
         rows = ensemble.fill_prediction_mean(run.scored.filter(F.col("split") == part))
-        scores.append(ensemble.gbt_predict_rank(run.model, rows).withColumn("split", F.lit(part)))
-    return scores[0].unionByName(scores[1]).select(
-        "split", six("popularity_rank_bar").alias("popularity_rank_bar"), in_range("rank_bar").alias("ranked"))
+        scores.append(next_to(ensemble.gbt_predict_rank(run.model, rows).withColumn("split", F.lit(part)),
+                              evaluate.popularity_mean(rows, "event_id"), "popularity_rank_bar"))
+    return append_parts(scores).select("split", "popularity_rank_bar", in_range("rank_bar").alias("ranked"), "agrees")
 
 
 @query("feature_importance", " UNION ALL ".join(
@@ -323,7 +377,7 @@ _VARIANTS = ", ".join(f"('{name}', {float(rate)}, {float(depth)}, {float(trees)}
 @query("gbt_variants", f"""WITH {BY_SERIES}
 SELECT gb_model, 'val' AS split, CAST(rate AS DOUBLE) AS learning_rate, CAST(depth AS DOUBLE) AS max_depth,
   CAST(trees AS DOUBLE) AS n_est, CAST(subsample AS DOUBLE) AS subsample,
-  {popularity_sql('bv', 'event_id')} AS popular_rank, TRUE AS ranked, 1 AS n_chosen
+  {popularity_sql('bv', 'event_id')} AS popular_rank, TRUE AS ranked, TRUE AS agrees, 1 AS n_chosen
 FROM (VALUES {_VARIANTS}) AS t(gb_model, rate, depth, trees, subsample)""")
 def gbt_variants(spark, sf_dir):
     """Ledger of the parameter sets of up to 300 trees, with all their trees."""
@@ -331,9 +385,10 @@ def gbt_variants(spark, sf_dir):
     paths = [tables.snapshot(rows, scratch_path(spark, "boosting")) for rows in (train, validate)]
     ledger = ensemble.compare_variants(*paths, COMPARED)
     chosen = (F.col("gb_model") == ensemble.best_variant(ledger)).cast("int")
-    return ledger.select(
-        "gb_model", "split", "learning_rate", "max_depth", "n_est", "subsample",
-        six("popular_rank").alias("popular_rank"), in_range("model_rank").alias("ranked"),
+    exact = evaluate.popularity_mean(paths[1], "event_id")
+    return next_to(ledger, exact, "popular_rank").select(
+        "gb_model", "split", "learning_rate", "max_depth", "n_est", "subsample", "popular_rank",
+        in_range("model_rank").alias("ranked"), "agrees",
         F.sum(chosen).over(W.partitionBy()).cast("int").alias("n_chosen"))
 
 

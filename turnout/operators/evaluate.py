@@ -103,9 +103,22 @@ def popularity_rank_bar(scored: DataFrame, item: str, actual: str = "participate
     """
     counts = _item_counts(scored, item, actual, prediction)
     best = counts.agg(F.max("_best")).scalar()
-    mean = F.try_divide(F.sum(F.col("attendance") * F.col("rank_ui")), F.sum("attendance"))
-    return _placed(counts, item).agg(
-        F.when(best == 0, F.lit(100.0)).otherwise(mean).alias("popularity_rank_bar"))
+    return _mean_place(counts, item).select(
+        F.when(best == 0, F.lit(100.0)).otherwise(F.col("mean")).alias("popularity_rank_bar"))
+
+
+def _mean_place(counts: DataFrame, item: str) -> DataFrame:
+    return _placed(counts, item).agg(F.try_divide(
+        F.sum(F.col("attendance") * F.col("rank_ui")), F.sum("attendance")).alias("mean"))
+
+
+def popularity_mean(rows: DataFrame, item: str, actual: str = "participated") -> DataFrame:
+    """One row with ``popularity_mean``: as ``popularity_rank_bar``, whatever any model scores.
+
+    ``rows`` may be attended ones alone; the others change nothing.
+    """
+    counts = cut_lineage(rows.groupBy(item).agg(F.sum(actual).alias("attendance")))
+    return _mean_place(counts, item).withColumnRenamed("mean", "popularity_mean")
 
 
 def fill_with_mean(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -27,9 +27,11 @@ HEX = "[0-9a-f]+"
 #: What stands before group 2 in a match of ASSIGN.
 ASSIGN_HEAD = ("^(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]"
                "|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])[\"']?\\x20*[:=]\\x20*[\"']?")
-#: Runs that are no secrets: digits only, and documented examples that make up the whole run.
-ALLOW = ("^[0-9/_=+-]+$", "^(?:EXAMPLE|example|xxxx|XXXX|0123456789|abcdefghijklmnopqrstuvwxyz|abcdefgh"
-         "|ABCDEFGHIJKLMNOPQRSTUVWXYZ|[/_=+-])+$")
+#: Runs that are no secrets: digits only, and documented examples that make up the whole run. The latter
+#: are taken out piece by piece: one pattern for a whole run would overflow the stack on long ones.
+ALLOW = "^[0-9/_=+-]+$"
+PIECES = ("EXAMPLE|example|xxxx|XXXX|0123456789|abcdefghijklmnopqrstuvwxyz|abcdefgh"
+          "|ABCDEFGHIJKLMNOPQRSTUVWXYZ|[/_=+-]")
 
 
 @dataclass(frozen=True)
@@ -148,11 +150,10 @@ def window_range(run: Column, window: Column, least_sum: Column) -> Column:
     return _bound(F.transform(F.split(run, ""), lambda c: F.ascii(c)), walk)
 
 
-def entropy_spans(text: Column, classes=CLASSES, allow=ALLOW) -> Column:
+def entropy_spans(text: Column, classes=CLASSES) -> Column:
     """One span per run with windows of high entropy, from the first to the last of them."""
     runs, _ = _placed(text, RUN, "entropy", LEAST_RUN)
-    known = "|".join(f"(?:{a})" for a in allow)
-    runs = F.filter(runs, lambda r: ~r["found"].rlike(known))
+    runs = F.filter(runs, lambda r: ~r["found"].rlike(ALLOW) & (F.regexp_replace(r["found"], PIECES, "") != ""))
 
     def sized(r: Column) -> Column:
         window, least = F.lit(None).cast("int"), F.lit(None).cast("long")
@@ -254,7 +255,7 @@ def _sql() -> str:
     kinds = [("assign", ASSIGN, 0), ("access", ACCESS, 1), ("hex", HEX, 2),
              ("entropy", RUN, 3)]
     parts = ",".join(_KIND.format(kind=k, pattern=quoted(p), ord=o) for k, p, o in kinds)
-    allowed = " AND ".join(f"NOT regexp_matches(m, '{quoted(a)}')" for a in ALLOW)
+    allowed = f"NOT regexp_matches(m, '{ALLOW}') AND regexp_replace(m, '{PIECES}', '', 'g') <> ''"
     hexed, mixed, letters = CLASSES
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),{parts},

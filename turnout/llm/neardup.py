@@ -33,6 +33,8 @@ COMMON = 0.01
 #: Ranges of hashes in which the shingles of a block of documents are counted.
 RANGE_BITS = 4
 RANGES = 1 << RANGE_BITS
+#: Documents of a block; a worker holds the shingles of one block.
+BLOCK_DOCUMENTS = 2500
 #: Candidates for common shingles that are counted in one pass.
 COUNTED = 2_000_000
 #: Members of a block when groups under one hub are compared.
@@ -146,15 +148,18 @@ def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingles_of(part)[0] for _, part in text_parts(batch)]
-            frequent = []
-            for at in range(RANGES):  # one range of hashes at a time, for the memory of sorting
-                some = [f[f >> np.uint64(64 - RANGE_BITS) == np.uint64(at)] for f in found]
-                distinct, counts = np.unique(np.concatenate(some), return_counts=True) if some else (np.empty(0), np.empty(0))
-                frequent.append(distinct[counts > COMMON * batch.num_rows])
-            del found
-            yield pa.RecordBatch.from_pydict({
-                "shingle": np.concatenate(frequent).astype(np.uint64).view(np.int64)})
+            blocks = -(-batch.num_rows // BLOCK_DOCUMENTS)
+            edges = [batch.num_rows * i // max(1, blocks) for i in range(blocks + 1)]
+            for start, end in zip(edges[:-1], edges[1:]):
+                found = [shingles_of(part)[0] for _, part in text_parts(batch.slice(start, end - start))]
+                frequent = []
+                for at in range(RANGES):  # one range of hashes at a time, for the memory of sorting
+                    some = [f[f >> np.uint64(64 - RANGE_BITS) == np.uint64(at)] for f in found]
+                    distinct, counts = np.unique(np.concatenate(some), return_counts=True) if some else (np.empty(0), np.empty(0))
+                    frequent.append(distinct[counts > COMMON * (end - start)])
+                del found
+                yield pa.RecordBatch.from_pydict({
+                    "shingle": np.concatenate(frequent).astype(np.uint64).view(np.int64)})
 
     named = stored(texts.mapInArrow(local, "shingle long").distinct(), "shingle-candidates")
     documents = docs.count()

@@ -5,6 +5,11 @@ can never end up in one token, so a cut between them is certain. Words are cut
 at all such places, the fragments are encoded on their own, and their ids are
 put together again. The table of joinable byte pairs follows from the
 vocabulary file alone.
+
+Words short enough to be remembered are not merged: their tokens are the one
+row of tokens in which every two neighbours, encoded on their own, stay these
+two. So a word is a first token and the row of the rest, if the two that meet
+there stay; rests recur and are remembered, and so is whether two tokens stay.
 """
 
 from __future__ import annotations
@@ -26,11 +31,13 @@ from turnout.llm.registry import query
 
 #: Fixed value: how byte-level BPE vocabularies of this kind split text into words.
 WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words remembered by one worker; the memory starts anew beyond that, results do not change. Workers
+#: Words, and rests of words, remembered by one worker; the memory starts anew beyond that, results do not change. Workers
 #: outlive their tasks, so this memory (about 420 bytes a word) stays beside whatever runs next.
 REMEMBERED = 200_000
 #: Longer words are not remembered.
 LONGEST = 64
+#: Pairs of tokens remembered by one worker, as neighbours or not.
+PAIRS = 500_000
 #: Fragments up to this length are merged by plain search.
 SHORT = 24
 NEVER = (1 << 30, -1)
@@ -53,7 +60,8 @@ class Known(dict):
         self.coder = coder
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = tuple(chain.from_iterable(map(self.coder.merge, self.coder.fragments(word.encode()))))
+        raw, coder = word.encode(), self.coder
+        ids = coder.tails.row(raw) if coder.complete and len(raw) <= LONGEST else tuple(coder.merged(raw))
         if len(word) <= LONGEST:
             if len(self) >= REMEMBERED:
                 self.clear()
@@ -61,6 +69,48 @@ class Known(dict):
         return ids
 
 
+class Neighbours(dict):
+    """Whether two tokens, given as their ids, stay these two if they are encoded together."""
+
+    def __init__(self, coder: Codec):
+        super().__init__()
+        self.coder = coder
+
+    def __missing__(self, pair: tuple[int, int]) -> bool:
+        left, right = pair
+        if len(self) >= PAIRS:
+            self.clear()
+        stay = self[pair] = self.coder.merged(self.coder.bytes_of[left] + self.coder.bytes_of[right]) == [left, right]
+        return stay
+
+
+class Tails(dict):
+    """Ids of rests of short words seen before."""
+
+    def __init__(self, coder: Codec):
+        super().__init__()
+        self.whole, self.longest, self.neighbours = coder.whole, coder.longest, Neighbours(coder)
+
+    def __missing__(self, raw: bytes) -> tuple[int, ...]:
+        ids = self.row(raw)
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[raw] = ids
+        return ids
+
+    def row(self, raw: bytes) -> tuple[int, ...]:
+        """The row of tokens of a short word; longer first tokens are tried first."""
+        for end in range(min(len(raw), self.longest[raw[0]]), 0, -1):
+            first = self.whole.get(raw[:end])
+            if first is not None:
+                if end == len(raw):
+                    return (first,)
+                rest = self[raw[end:]]
+                if self.neighbours[first, rest[0]]:
+                    return (first, *rest)
+        raise AssertionError(f"no row of tokens for {raw!r}")
+
+
 class Codec:
     """Encoder and decoder of one vocabulary."""
 
@@ -83,6 +133,17 @@ class Codec:
         names = sorted(self.special, key=len, reverse=True)
         self.split = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.known = Known(self)
+        # tokens that merging arrives at, and how long they get by first byte
+        self.whole = {token: i for token, i in self.id_of.items() if self.merged(token) == [i]}
+        self.longest = [0] * 256
+        for token in self.whole:
+            self.longest[token[0]] = max(self.longest[token[0]], len(token))
+        self.complete = None not in self.byte_ids
+        self.tails = Tails(self)
+
+    def merged(self, word: bytes) -> list[int]:
+        """Ids of a word by merging its fragments."""
+        return list(chain.from_iterable(map(self.merge, self.fragments(word))))
 
     def fragments(self, word: bytes) -> list[bytes]:
         """``word`` cut wherever two neighbouring bytes are not joinable."""

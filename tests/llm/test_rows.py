@@ -345,6 +345,44 @@ def test_crowd_links_equal_pairwise():
     assert found == want and want
 
 
+def test_document_frequencies_of_all_shingles(spark, monkeypatch):
+    """A shingle of two of 300 documents weighs less than one of a single document, whatever blocks hold them."""
+    monkeypatch.setattr(neardup, "BLOCK_CHARS", 2_000)
+    monkeypatch.setattr(neardup, "HELD", 500)
+    rng = random.Random(12)
+    texts = [sentence(rng, rng.choice([0, 3, 40, 400])) for _ in range(260)]
+    texts += [texts[i] + " " + sentence(rng, 20) for i in range(38)] + [None, "a b c d e " * 6]
+    rows = docs_of(spark, texts).repartition(5).select("doc_id", F.lit(b"k").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    want: dict = {}
+    for t in texts:
+        for h in neardup.shingles_of([t or ""])[0].tolist():
+            want[h] = want.get(h, 0) + 1
+    assert {1, 2} <= set(want.values())
+    found = neardup._signed(rows, 300, sum(len(t or "") for t in texts)).collect()
+    assert sorted(r.doc_id for r in found) == list(range(300))
+    for r in found:
+        hashes, _, counts = neardup.shingles_of([texts[r.doc_id] or ""])
+        seen = np.frombuffer(r.seen, np.int32)
+        assert seen.tolist() == [want[h] for h in hashes.tolist()]
+        known = np.sort(hashes), neardup.weights_of(seen, 300)
+        assert r.bands == neardup.bands_of([texts[r.doc_id] or ""], known)[0]
+    assert neardup.weights_of(np.array([1, 300]), 300).tolist() == [1, 0.5]
+
+
+def test_rare_shingles_weigh_by_frequency(spark):
+    """Texts alike only in shingles that many others have are less alike by weight than by number."""
+    rng = random.Random(13)
+    shared = sentence(rng, 40)
+    texts = [shared + " " + sentence(rng, 9) for _ in range(2)] + [sentence(rng, 60) for _ in range(600)]
+    rows = docs_of(spark, texts).select("doc_id", F.lit(b"k").alias("key"), "text")
+    signed = neardup._signed(rows, len(texts), sum(map(len, texts))).join(rows.drop("key"), "doc_id").where(
+        "doc_id < 2").select(F.col("doc_id").alias("node"), "text", "seen")
+    pair = spark.createDataFrame([(0, 1)], "left long, right long")
+    _, _, weighted, plain = neardup._verify(pair, signed, len(texts)).first()
+    low = 1 - 0.5 * math.log(2) / math.log(602)
+    assert weighted == pytest.approx(36 * low / (36 * low + 18)) and plain == pytest.approx(36 / 54)
+
+
 @pytest.mark.parametrize("labels_of", [lambda i: 0 if i < 28 else i, lambda i: i % 3, lambda i: i, lambda i: 0])
 def test_links_across_blocks_equal_pairwise(spark, monkeypatch, labels_of):
     monkeypatch.setattr(neardup, "BLOCK", 4)

@@ -1,7 +1,7 @@
 """Near duplicates by improved consistent weighted sampling of TF-IDF shingles.
 
 Shingles of five words weigh their count in the text times an inverse document
-frequency. Each of ``SAMPLES`` hash functions samples one shingle (and the level
+frequency, which is counted for every shingle over all documents. Each of ``SAMPLES`` hash functions samples one shingle (and the level
 of its weight) so that two texts agree on a sample with the probability of
 their weighted Jaccard similarity. Samples are put into bands; texts that share
 a band meet in a bucket, are compared to the bucket's hub and then, where the
@@ -27,16 +27,12 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
 SAMPLES = BANDS * ROWS
-#: Shingles in a smaller part of all documents weigh 1; the weight of more frequent ones falls
-#: with the logarithm of their frequency, to one half for a shingle of every document.
-COMMON = 0.01
-#: Ranges of hashes in which the shingles of a block of documents are counted.
-RANGE_BITS = 4
-RANGES = 1 << RANGE_BITS
-#: Documents of a block; a worker holds the shingles of one block.
-BLOCK_DOCUMENTS = 2500
-#: Candidates for common shingles that are counted in one pass.
-COUNTED = 2_000_000
+#: Characters of a block of documents, about; shingles are exchanged by block.
+BLOCK_CHARS = 8_000_000
+#: Shingles that a task holds while it looks through texts, and those of one range of hashes.
+HELD = 1_000_000
+#: Characters of text to a shingle, about; only the number of ranges depends on it.
+SHINGLE_CHARS = 5
 #: Members of a block when groups under one hub are compared.
 BLOCK = 512
 ODD = mix(np.arange(1, SAMPLES + WORDS + 2, dtype=np.uint64)) | np.uint64(1)
@@ -67,7 +63,7 @@ def shingles_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def idf(hashes: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Weights by document frequency; ``common`` has sorted hashes and their weights."""
+    """Weights from a table: ``common`` has sorted hashes and their weights, all others weigh 1."""
     known, weights = common
     out = np.ones(len(hashes))
     if len(known):
@@ -77,6 +73,15 @@ def idf(hashes: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray
     return out
 
 
+def weights_of(seen: np.ndarray, documents: int) -> np.ndarray:
+    """Inverse document frequencies of shingles that ``seen`` of all documents have.
+
+    The weight falls with the logarithm of the frequency, from 1 for a shingle of one document
+    to one half for a shingle of every document.
+    """
+    return 1 - 0.5 * np.log(np.maximum(seen, 1)) / np.log(max(documents, 2))
+
+
 @lru_cache(maxsize=1)
 def draws() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """r, log c and beta of consistent weighted sampling by table place, and the packed log a for weight 1."""
@@ -98,9 +103,13 @@ def packed(value: np.ndarray) -> np.ndarray:
 def bands_of(texts: list[str], common: tuple[np.ndarray, np.ndarray]) -> list[list[int] | None]:
     """Band keys of every text; None for a text without words."""
     hashes, owners, counts = shingles_of(texts)
+    return _bands(hashes, owners, counts * idf(hashes, common), len(texts))
+
+
+def _bands(hashes: np.ndarray, owners: np.ndarray, weights: np.ndarray, texts: int) -> list[list[int] | None]:
+    """Band keys of every text from its shingles with their weights."""
     if not len(hashes):
-        return [None] * len(texts)
-    weights = counts * idf(hashes, common)
+        return [None] * texts
     other = np.flatnonzero(weights != 1.0)
     log_w = np.log(weights[other])
     r, log_c, beta, plain = draws()
@@ -118,7 +127,7 @@ def bands_of(texts: list[str], common: tuple[np.ndarray, np.ndarray]) -> list[li
         sample = np.minimum.reduceat(value, first)
         keys[k // ROWS] += mix(sample) * ODD[k]
     keys = mix(keys + np.arange(1, BANDS + 1, dtype=np.uint64)[:, None]).view(np.int64)
-    out: list[list[int] | None] = [None] * len(texts)
+    out: list[list[int] | None] = [None] * texts
     for i, key in zip(owners[first].tolist(), keys.T.tolist()):
         out[i] = key
     return out
@@ -126,74 +135,133 @@ def bands_of(texts: list[str], common: tuple[np.ndarray, np.ndarray]) -> list[li
 
 def weighted_jaccard(left: tuple, right: tuple, common: tuple[np.ndarray, np.ndarray]) -> tuple[float, float]:
     """(TF-IDF weighted, plain set) Jaccard of two texts' (hashes, counts)."""
+    return _jaccard((*left, idf(left[0], common)), (*right, idf(right[0], common)))
+
+
+def _jaccard(left: tuple, right: tuple) -> tuple[float, float]:
+    """(weighted, plain set) Jaccard of two texts' (hashes, counts, weights)."""
     every = np.union1d(left[0], right[0])
     if not len(every):
         return 0.0, 0.0
-    a, b = np.zeros(len(every)), np.zeros(len(every))
-    a[np.searchsorted(every, left[0])] = left[1]
-    b[np.searchsorted(every, right[0])] = right[1]
-    weight = idf(every, common)
+    a, b, weight = np.zeros(len(every)), np.zeros(len(every)), np.zeros(len(every))
+    for side, (hashes, counts, weights) in ((a, left), (b, right)):
+        at = np.searchsorted(every, hashes)
+        side[at], weight[at] = counts, weights
     return (float((np.minimum(a, b) * weight).sum() / (np.maximum(a, b) * weight).sum()),
             float(((a > 0) & (b > 0)).sum() / len(every)))
 
 
-def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes and weights of the shingles in more than ``COMMON`` of all documents, exactly.
+def _numbers(column: pa.ChunkedArray, dtype: type) -> np.ndarray:
+    """Numbers of all binary values of a column, one after the other."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=dtype)
+
+
+def _hashes(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The hashes of every value that ``_planes`` wrote."""
+    return [np.frombuffer(v, np.uint8).reshape(8, -1).T.copy().view(np.uint64)[:, 0] for v in column.to_pylist()]
+
+
+def _planes(hashes: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """Sorted hashes from one edge to the next as binary: first bytes first, as those are alike and pack well."""
+    return pa.array([hashes[a:b, None].view(np.uint8).T.tobytes() for a, b in zip(edges[:-1], edges[1:])], pa.binary())
+
+
+def _cut(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """Binary values: ``values`` from one edge to the next."""
+    return pa.array([values[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])], pa.binary())
+
+
+def _in_blocks(rows: DataFrame, chars: int) -> DataFrame:
+    """``rows`` (doc_id, key, text) with a ``block`` of about ``BLOCK_CHARS`` of all ``chars``, brought together by it."""
+    blocks = F.lit(max(1, chars // BLOCK_CHARS))
+    return rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "key"), blocks)).repartition("block")
 
-    A shingle that is so frequent overall is so in one block of documents at
-    least; blocks name their candidates, and a second pass counts these over
-    all documents. Not more than (shingles per document) / ``COMMON`` remain.
+
+def document_frequencies(rows: DataFrame, chars: int) -> DataFrame:
+    """(block, shingles, seen): in how many of all ``rows`` (block, text) the shingles of a block are, exactly.
+
+    Both are binary, 64-bit hashes and 32-bit numbers; shingles of one document only are left out.
+    A block's shingles are sent, each once with the block's own number, to the range of hashes
+    they lie in. There the numbers of all blocks are added, and each block is answered.
     """
-    texts = docs.select("text")
+    bits = max(1, int(chars // SHINGLE_CHARS // HELD).bit_length())
+
+    def pieces(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        hashes, blocks = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((hashes, blocks))
+        hashes, blocks = hashes[order], blocks[order]
+        new = np.flatnonzero(np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (blocks[1:] != blocks[:-1])]))
+        seen = np.diff(np.append(new, len(hashes))).astype(np.int32)
+        hashes, blocks = hashes[new], blocks[new]
+        ranges = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+        edges = np.append(np.flatnonzero(np.concatenate(
+            [[True], (ranges[1:] != ranges[:-1]) | (blocks[1:] != blocks[:-1])])), len(hashes))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ranges[edges[:-1]]), pa.array(blocks[edges[:-1]]), _planes(hashes, edges), _cut(seen, edges)],
+            ["range", "block", "shingles", "seen"])
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blocks = -(-batch.num_rows // BLOCK_DOCUMENTS)
-            edges = [batch.num_rows * i // max(1, blocks) for i in range(blocks + 1)]
-            for start, end in zip(edges[:-1], edges[1:]):
-                found = [shingles_of(part)[0] for _, part in text_parts(batch.slice(start, end - start))]
-                frequent = []
-                for at in range(RANGES):  # one range of hashes at a time, for the memory of sorting
-                    some = [f[f >> np.uint64(64 - RANGE_BITS) == np.uint64(at)] for f in found]
-                    distinct, counts = np.unique(np.concatenate(some), return_counts=True) if some else (np.empty(0), np.empty(0))
-                    frequent.append(distinct[counts > COMMON * (end - start)])
-                del found
-                yield pa.RecordBatch.from_pydict({
-                    "shingle": np.concatenate(frequent).astype(np.uint64).view(np.int64)})
-
-    named = stored(texts.mapInArrow(local, "shingle long").distinct(), "shingle-candidates")
-    documents = docs.count()
-    groups = max(1, -(-named.count() // COUNTED))
-    part = F.pmod(F.xxhash64("shingle"), F.lit(groups))
-    known: list[tuple[int, int]] = []
-    for i in range(groups):
-        some = np.sort(np.array([r[0] for r in named.where(part == i).toLocalIterator()], dtype=np.int64).view(np.uint64))
-        if not len(some):
-            continue
-        shared = docs.sparkSession.sparkContext.broadcast(some)
-
-        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            some = shared.value
-            total = np.zeros(len(some), dtype=np.int64)
-            for batch in batches:
-                for _, chunk in text_parts(batch):
-                    hashes = shingles_of(chunk)[0]
-                    at = np.minimum(np.searchsorted(some, hashes), len(some) - 1)
-                    total += np.bincount(at[some[at] == hashes], minlength=len(some))
-            used = np.flatnonzero(total)
-            yield pa.RecordBatch.from_pydict({"shingle": some[used].view(np.int64), "n": total[used]})
-
-        known += [tuple(r) for r in texts.mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(
-            F.sum("n").alias("n")).where(F.col("n") > COMMON * documents).collect()]
-    if not known:
-        return np.empty(0, np.uint64), np.empty(0)
-    hashes = np.array([x[0] for x in known], dtype=np.int64).view(np.uint64)
-    share = np.array([x[1] for x in known]) / documents
-    order = np.argsort(hashes)
-    return hashes[order], (0.5 + 0.5 * np.log(1 / share) / np.log(1 / COMMON))[order]
-
-
-def _verify(pairs: DataFrame, texts: DataFrame, shared) -> DataFrame:
+            held, n = [], 0
+            for part, texts in text_parts(batch):
+                hashes, owners, _ = shingles_of(texts)
+                if len(hashes):
+                    held.append((hashes, part.column("block").to_numpy()[owners]))
+                    n += len(hashes)
+                if n >= HELD:
+                    yield pieces(held)
+                    held, n = [], 0
+            if held:
+                yield pieces(held)
+
+    def added(group: pa.Table) -> pa.Table:
+        parts, seen = _hashes(group.column("shingles")), _numbers(group.column("seen"), np.int32)
+        hashes = np.concatenate(parts)
+        order = np.argsort(hashes)
+        new = np.flatnonzero(np.concatenate([[True], np.diff(hashes[order]) != 0]))
+        total = np.empty(len(hashes), np.int64)
+        total[order] = np.repeat(np.add.reduceat(seen[order], new, dtype=np.int64), np.diff(np.append(new, len(hashes))))
+        shared = total > 1
+        edges = np.concatenate([[0], np.cumsum(shared)])[np.cumsum([0, *map(len, parts)])]
+        return pa.table({"block": group.column("block"), "shingles": _planes(hashes[shared], edges),
+                         "seen": _cut(total[shared].astype(np.int32), edges)})
+
+    # all columns, so that the rows are brought together once for this and for the answers
+    return rows.mapInArrow(
+        local, "range long, block long, shingles binary, seen binary").groupBy("range").applyInArrow(
+        added, "block long, shingles binary, seen binary").where("length(seen) > 0")
+
+
+SIGNED = "doc_id long, key binary, bands array<long>, seen binary"
+
+
+def _signed(rows: DataFrame, documents: int, chars: int) -> DataFrame:
+    """(doc_id, key, bands, seen) of ``rows`` (doc_id, key, text): band keys and the document frequencies of all
+    shingles, sorted by hash."""
+    names = [field.split(" ")[0] for field in SIGNED.split(", ")]
+
+    def sign(docs: pa.Table, frequent: pa.Table) -> pa.Table:
+        known, first = np.unique(np.concatenate([np.empty(0, np.uint64), *_hashes(frequent.column("shingles"))]),
+                                 return_index=True)
+        common = known, _numbers(frequent.column("seen"), np.int32)[first]
+        out = []
+        for batch in docs.select(["doc_id", "key", "text"]).combine_chunks().to_batches():
+            for part, texts in text_parts(batch):
+                hashes, owners, counts = shingles_of(texts)
+                found = idf(hashes, common).astype(np.int32)
+                edges = np.searchsorted(owners, np.arange(len(texts) + 1))
+                bands = _bands(hashes, owners, counts * weights_of(found, documents), len(texts))
+                out.append(pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(bands, pa.list_(pa.int64())),
+                     _cut(found, edges)], names))
+        return pa.Table.from_batches(out)
+
+    rows = _in_blocks(rows, chars)
+    frequent = document_frequencies(rows, chars)
+    return rows.groupBy("block").cogroup(frequent.groupBy("block")).applyInArrow(sign, SIGNED)
+
+
+def _verify(pairs: DataFrame, texts: DataFrame, documents: int) -> DataFrame:
     """Pairs (left, right) with the weighted and plain similarity of their whole texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,41 +269,50 @@ def _verify(pairs: DataFrame, texts: DataFrame, shared) -> DataFrame:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
                 both = [*part.column(2).to_pylist(), *part.column(3).to_pylist()]
-                place = {t: i for i, t in enumerate(dict.fromkeys(both))}
+                seen = dict(zip(both, [*part.column(4).to_pylist(), *part.column(5).to_pylist()]))
+                place = {t: i for i, t in enumerate(seen)}
                 hashes, owners, counts = shingles_of(list(place))
+                weights = weights_of(np.frombuffer(b"".join(seen.values()), np.int32), documents)
                 edges = np.searchsorted(owners, np.arange(len(place) + 1))
-                sets = [(hashes[a:b], counts[a:b]) for a, b in zip(edges[:-1], edges[1:])]
+                sets = [(hashes[a:b], counts[a:b], weights[a:b]) for a, b in zip(edges[:-1], edges[1:])]
                 for x, y in zip(both[:part.num_rows], both[part.num_rows:]):
-                    found.append(weighted_jaccard(sets[place[x]], sets[place[y]], shared.value))
+                    found.append(_jaccard(sets[place[x]], sets[place[y]]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([x[0] for x in found], pa.float64()),
                  pa.array([x[1] for x in found], pa.float64())], ["left", "right", "weighted", "plain"])
 
-    left = texts.select(F.col("node").alias("left"), F.col("text").alias("left_text"))
-    right = texts.select(F.col("node").alias("right"), F.col("text").alias("right_text"))
+    left = texts.select(F.col("node").alias("left"), F.col("text").alias("left_text"), F.col("seen").alias("left_seen"))
+    right = texts.select(F.col("node").alias("right"), F.col("text").alias("right_text"), F.col("seen").alias("right_seen"))
     return pairs.join(right, "right").join(left, "left").select(
-        "left", "right", "left_text", "right_text").mapInArrow(
+        "left", "right", "left_text", "right_text", "left_seen", "right_seen").mapInArrow(
         run, "left long, right long, weighted double, plain double")
 
 
 def _crowd_links(texts: list[str], labels: np.ndarray, mine: np.ndarray, theirs: np.ndarray,
                  common: tuple[np.ndarray, np.ndarray]) -> list[tuple[int, int]]:
-    """Similar pairs (one of ``mine``, one of ``theirs``) of different labels, as places in ``texts``.
+    """Similar pairs (one of ``mine``, one of ``theirs``) of different labels, as places in ``texts``."""
+    hashes, owners, counts = shingles_of(texts)
+    return _similar(hashes, owners, counts, idf(hashes, common), labels, mine, theirs)
+
+
+def _similar(hashes: np.ndarray, owners: np.ndarray, counts: np.ndarray, weights: np.ndarray, labels: np.ndarray,
+             mine: np.ndarray, theirs: np.ndarray) -> list[tuple[int, int]]:
+    """Similar pairs of different labels from the shingles of all texts with their weights.
 
     min(a, b) of two counts is the number of levels that both reach, so shared
     weights are matrix products over (shingle, level). What only one text has
     enters through its own sum. Pairs near the limit are computed exactly.
     """
-    hashes, owners, counts = shingles_of(texts)
+    texts = len(labels)
     if not len(hashes):
         return []
     place = np.repeat(np.arange(len(hashes)), counts)
     level = np.arange(len(place)) - np.repeat(np.cumsum(counts) - counts, counts)
     element = mix(hashes[place] + level.astype(np.uint64) * ODD[1]) if counts.max() > 1 else hashes
-    owner, weight, single = owners[place], idf(hashes, common)[place], level == 0
+    owner, weight, single = owners[place], weights[place], level == 0
     distinct, column, met = np.unique(element, return_inverse=True, return_counts=True)
-    sums = np.bincount(owner, weights=weight, minlength=len(texts))
-    sizes = np.bincount(owner, weights=single, minlength=len(texts))
+    sums = np.bincount(owner, weights=weight, minlength=texts)
+    sizes = np.bincount(owner, weights=single, minlength=texts)
     shared_w = np.zeros((len(mine), len(theirs)))
     shared_p = np.zeros((len(mine), len(theirs)))
     columns = np.flatnonzero(met > 1)
@@ -245,7 +322,7 @@ def _crowd_links(texts: list[str], labels: np.ndarray, mine: np.ndarray, theirs:
         some = columns[at:at + 4096]
         span = order[np.searchsorted(sorted_columns, some[0]):np.searchsorted(sorted_columns, some[-1], "right")]
         span = span[met[column[span]] > 1]
-        dense = np.zeros((len(texts), len(some)), dtype=np.float32)
+        dense = np.zeros((texts, len(some)), dtype=np.float32)
         root = np.zeros(len(some), dtype=np.float32)
         first = np.zeros(len(some), dtype=np.float32)
         to = np.searchsorted(some, column[span])
@@ -256,15 +333,18 @@ def _crowd_links(texts: list[str], labels: np.ndarray, mine: np.ndarray, theirs:
     weighted = shared_w / np.maximum(sums[mine][:, None] + sums[theirs][None] - shared_w, 1e-9)
     plain = shared_p / np.maximum(sizes[mine][:, None] + sizes[theirs][None] - shared_p, 1e-9)
     near = (np.maximum(weighted, plain) >= SIMILARITY - 1e-3) & (labels[mine][:, None] != labels[theirs][None])
-    edges = np.searchsorted(owners, np.arange(len(texts) + 1))
-    sets = lambda i: (hashes[edges[i]:edges[i + 1]], counts[edges[i]:edges[i + 1]])
+    edges = np.searchsorted(owners, np.arange(texts + 1))
+    sets = lambda i: tuple(x[edges[i]:edges[i + 1]] for x in (hashes, counts, weights))
     return [(mine[i], theirs[j]) for i, j in zip(*np.nonzero(near))
-            if max(weighted_jaccard(sets(mine[i]), sets(theirs[j]), common)) >= SIMILARITY]
+            if max(_jaccard(sets(mine[i]), sets(theirs[j]))) >= SIMILARITY]
 
 
-def _links_across(crowds: DataFrame, texts: DataFrame, shared) -> DataFrame:
+def _links_across(crowds: DataFrame, texts: DataFrame, shared=None, documents: int = 0) -> DataFrame:
     """Links (left, right) between members (node, label) of one crowd (hub) with different labels.
 
+    Weights follow from the frequencies that ``texts`` (node, text, seen) carry, among so many
+    ``documents``; without them (node, text) from a ``shared`` table as ``idf`` takes it.
+
     A crowd is cut into blocks of about ``BLOCK`` members, those of its most
     frequent label apart from the rest. Every pair of blocks is one group, so
     that no task holds more than two blocks; two blocks of the most frequent
@@ -284,13 +364,16 @@ def _links_across(crowds: DataFrame, texts: DataFrame, shared) -> DataFrame:
                              F.col("main_blocks") + F.col("rest_blocks") - 1)).alias("other"))
     rows = dealt.join(texts, "node").select(
         "hub", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        "node", "label", "block", "text")
+        "label", "block", *texts.columns)
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         _, low, high = key
         block = group["block"].to_numpy()
-        found = _crowd_links(group["text"].tolist(), group["label"].to_numpy(), np.flatnonzero(block == low),
-                             np.flatnonzero(block == high), shared.value)
+        hashes, owners, counts = shingles_of(group["text"].tolist())
+        weights = (idf(hashes, shared.value) if shared else
+                   weights_of(np.frombuffer(b"".join(group["seen"]), np.int32), documents))
+        found = _similar(hashes, owners, counts, weights, group["label"].to_numpy(), np.flatnonzero(block == low),
+                         np.flatnonzero(block == high))
         node = group["node"].to_numpy()
         pairs = {(min(node[i], node[j]), max(node[i], node[j])) for i, j in found}
         return pd.DataFrame(sorted(pairs), columns=["left", "right"], dtype="int64")
@@ -325,25 +408,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     ``text_id`` is the smallest doc_id with an equal text, ``class_id`` the
     smallest of all documents linked to it. Two texts are linked if their TF-IDF
-    weighted Jaccard similarity over five-word shingles is 0.8 or more, or their
-    plain one, so that a shingle's frequency within a large group of copies
-    cannot part the group. Null texts are empty; texts without words are linked
-    to equal ones only; fewer than five words make one shingle. Rows repeating
-    a doc_id are one document; a null id is in the class of its text, or null.
-    An empty table gives no rows.
+    weighted Jaccard similarity over five-word shingles is 0.8 or more (with the
+    frequency of every shingle over all rows of ``docs``), or their plain one, so
+    that a shingle's frequency within a large group of copies cannot part the
+    group. Null texts are empty; texts without words are linked to equal ones
+    only; fewer than five words make one shingle. Rows repeating a doc_id are one
+    document; a null id is in the class of its text, or null. An empty table
+    gives no rows.
     """
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of().alias("text"))
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(rows))
-    names = ["doc_id", "key", "bands"]
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, texts in text_parts(batch):
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(bands_of(texts, common.value), pa.list_(pa.int64()))], names)
-
-    keyed = rows.select("doc_id", F.unhex(F.substring(F.sha2("text", 256), 1, 32)).alias("key"), "text")
-    signed = stored(keyed.mapInArrow(sign, "doc_id long, key binary, bands array<long>"), "signatures")
+    rows = rows.select("doc_id", F.unhex(F.substring(F.sha2("text", 256), 1, 32)).alias("key"), "text")
+    documents, chars = rows.agg(F.count("text"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    signed = stored(_signed(rows, documents, chars), "signatures")
     classes = stored(signed.groupBy("key").agg(F.min("doc_id").alias("text_id")), "text-classes")
     kept = stored(signed.join(classes, (signed.key == classes.key) & (signed.doc_id == classes.text_id)).select(
         F.col("text_id").alias("node"), F.explode("bands").alias("band")).distinct(), "bands")
@@ -351,15 +427,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sizes = stored(kept.groupBy("band").agg(F.count("node").alias("n")).where("n > 1"), "buckets")
     members = stored(kept.join(sizes, "band"), "members")
     mass = stored(members.groupBy("node").agg(F.sum("n").alias("mass")), "mass")
-    texts = stored(rows.join(mass, rows.doc_id == mass.node).groupBy("node").agg(
-        F.min("text").alias("text")), "bucket-texts")
+    seen = signed.join(mass, signed.doc_id == mass.node).groupBy("node", "key").agg(F.first("seen").alias("seen"))
+    texts = stored(rows.join(seen, (rows.doc_id == seen.node) & (rows.key == seen.key)).groupBy("node").agg(
+        F.min(F.struct("text", "seen")).alias("least")).select("node", "least.text", "least.seen"), "bucket-texts")
 
     hubs = stored(members.join(mass, "node").groupBy("band").agg(
         F.max(F.struct("mass", (-F.col("node")).alias("minus"))).alias("best")).select(
         "band", (-F.col("best.minus")).alias("hub")), "hubs")
     first = members.join(hubs, "band").where("node <> hub").select(
         F.least("hub", "node").alias("left"), F.greatest("hub", "node").alias("right")).distinct()
-    tested = stored(_verify(stored(first, "pairs"), texts, common), "tested")
+    tested = stored(_verify(stored(first, "pairs"), texts, documents), "tested")
     similar = f"weighted >= {SIMILARITY} OR plain >= {SIMILARITY}"
     links = tested.where(similar).select("left", "right")
     labels = components(links)
@@ -371,7 +448,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").join(
         hubs, "band").select("band", "hub"), "apart")
     crowds = stored(placed.join(apart, "band").select("hub", "node", "label").distinct(), "crowds")
-    more = stored(_links_across(crowds, texts, common), "links").distinct()
+    more = stored(_links_across(crowds, texts, documents=documents), "links").distinct()
     if more.limit(1).count():
         labels = components(links.union(more))
 

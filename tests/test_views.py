@@ -34,3 +34,30 @@ def test_tasks_grow_with_the_lines(spark, tmp_path, monkeypatch):
         assert counts.sparse_people(spark, folder).rdd.getNumPartitions() == 24
         assert sorted(views.order_lines(spark, folder).collect(), key=key) == lines
         assert sorted(counts.sparse_events(spark, folder).collect(), key=key) == events
+
+
+def test_tasks_of_lines_are_not_merged(spark, tmp_path, monkeypatch):
+    folder = write_tables(spark, tmp_path)
+    key = lambda row: tuple(map(str, row))
+    events = sorted(counts.sparse_events(spark, folder).collect(), key=key)
+    monkeypatch.setattr(views, "LINES_PER_TASK", 10)
+    setting = spark.conf.get("spark.sql.shuffle.partitions")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        # more than the 24 that the lines ask for; adaptive execution would merge them
+        spark.conf.set("spark.sql.shuffle.partitions", 100)
+        for limit in ("-1", threshold):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            assert counts.sparse_people(spark, folder).rdd.getNumPartitions() >= 24
+            assert sorted(counts.sparse_events(spark, folder).collect(), key=key) == events
+        spark.conf.set("spark.sql.shuffle.partitions", setting)
+        # products without a broadcast join: nothing is moved by product, unless they are many
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = views.order_lines(spark, folder)._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(l_partkey" not in plan and "hashpartitioning(l_orderkey" in plan
+        monkeypatch.setattr(views, "LARGE_PART", 5)
+        plan = views.order_lines(spark, folder)._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(l_partkey" in plan and ", 24)" in plan
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", setting)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

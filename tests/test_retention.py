@@ -96,3 +96,16 @@ def test_report_runs_in_one_call(spark):
     visits = {p: [(1, 0), (2, 30 + p)] for p in range(3)} | {7: [(3, 400)]}
     report = attendance_report(frame(spark, visits), waterline=10)
     assert report["events_of_interest"].count() == 1 and report["cutoff"].first()[0] >= 1
+
+
+def test_first_timers_of_an_event_come_with_their_ids(spark):
+    visits = {1: [(1, 0), (2, 0), (3, 300)], 2: [(2, 0), (3, 300)], 3: [(1, 0)], 25_000: [(1, 0), (1, 0)], 25_001: [(1, 9), (2, 0)]}
+    rows = rt.event_first_timers(rt.person_summary(frame(spark, visits))).collect()
+    found = {(r.event_id, r.page): (r.first_timers, r.repeat_under, r.repeat_over, r.n_people, r.person_ids) for r in rows}
+    assert len(found) == len(rows) and found == {
+        (1, 0): (4, 3, 0, 2, [1, 3]), (1, 2): (4, 3, 0, 1, [25_000]),
+        (2, 0): (3, 2, 1, 2, [1, 2]), (2, 2): (3, 2, 1, 1, [25_001]), (3, None): (0, 0, 0, None, None)}
+    # an event without an id keeps its figures and its people
+    unknown = frame(spark, {7: [(None, 0)]})
+    only = rt.event_first_timers(rt.person_summary(unknown)).collect()
+    assert [tuple(r) for r in only] == [(None, 1, 0, 0, 0, 1, [7])]
